@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from oreflow.datasets import HOME_COUNTRY, SCORE_SCALE, cents
+from oreflow.datasets import HOME_COUNTRY, SCORE_SCALE, cents, risk_points
 from oreflow.functions.bands import age_band, risk_band
 from oreflow.operators.metrics import auc, lift
 from oreflow.operators.ordered import extreme_share, exact_quantile
@@ -54,7 +54,7 @@ def _progression(t: Layers):
     tx = tx.withColumns(
         {
             "s1": cents(F.col("value")),
-            "s2": F.col("risk") - _points(),
+            "s2": F.col("risk") - risk_points(),
             "s3": F.col("risk") + F.when(fresh, int(1.5 * SCORE_SCALE)).otherwise(0),
         }
     )
@@ -66,15 +66,6 @@ def _progression(t: Layers):
     return out
 
 
-def _points():
-    hour = F.substring("occurred_at", 12, 2).cast("int")
-    return (
-        F.when(F.col("country") != HOME_COUNTRY, 2_500_000).otherwise(0)
-        + F.when(hour.between(2, 5), 2_000_000).otherwise(0)
-        + F.when(F.col("channel") == "online", 1_200_000).when(F.col("channel") == "atm", 800_000).otherwise(0)
-    )
-
-
 def _lift(t: Layers):
     tx = t.labelled_transactions()
     hour = F.substring("occurred_at", 12, 2).cast("int")
