@@ -52,10 +52,12 @@ def list_files(spark: SparkSession, path: str, suffix: str | None = None, recurs
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:
+    """Rows by source file. Names repeat between folders, so the whole path is the key."""
     return (
-        df.groupBy(file_name(F.col(SOURCE_FILE)).alias("file"))
+        df.groupBy(SOURCE_FILE)
         .agg(F.count("*").alias("rows"))
-        .orderBy(F.desc("rows"), "file")
+        .withColumn("file", file_name(F.col(SOURCE_FILE)))
+        .orderBy(F.desc("rows"), SOURCE_FILE)
     )
 
 
