@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-COMMIT_SCHEMA = T.StructType.fromDDL(
+COMMIT_SCHEMA = (
     "version bigint, committed_at timestamp, operation string, user string, affected bigint, "
     "table_schema string, parts array<struct<path: string, removed: array<string>>>"
 )

@@ -1,2 +1,174 @@
-QUERIES: dict = {}
-SQL: dict = {}
+"""Row filters, masks, tags and the sensitive-data scan on whole tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from oreflow.operators.governance import (
+    SENSITIVE_PATTERNS,
+    Identity,
+    Policy,
+    by_attribute,
+    by_group,
+    find_tagged,
+    mask_card,
+    mask_to_null,
+    policy_from_tags,
+    secure,
+    sensitive_scan,
+    tag_frame,
+)
+from oreflow.queries.base import Layers, query
+from oreflow.queries.oracle import sql
+
+ANA = Identity("ana", frozenset({"analysts", "p_ASIA"}), {"countries": ("ASIA",)})
+BEN = Identity("ben", frozenset({"finance", "p_EUROPE", "p_AFRICA"}), {"countries": ("EUROPE", "AFRICA")})
+CLASS_TABLES = ("transactions", "customers", "products")
+
+
+def _as_seen(df: DataFrame, policy: Policy, *columns) -> DataFrame:
+    """The same query for two callers."""
+    seen = [
+        secure(df, policy, who).select(F.lit(who.name).alias("caller"), *columns) for who in (ANA, BEN)
+    ]
+    return seen[0].unionAll(seen[1])
+
+
+def _by_country(df: DataFrame) -> DataFrame:
+    return df.groupBy("caller", "country").agg(F.count("*").alias("rows"))
+
+
+def _row_filter(t: Layers):
+    policy = Policy(row_filter=by_attribute("country", "countries"))
+    return _by_country(_as_seen(t.inventory(), policy, "country"))
+
+
+def _group_filter(t: Layers):
+    return _by_country(_as_seen(t.inventory(), Policy(row_filter=by_group("country", "p_")), "country"))
+
+
+def _mask_null(t: Layers):
+    policy = Policy(masks={"unit_cost": mask_to_null}, unmasked_groups=frozenset({"finance"}))
+    return _as_seen(t.products(), policy, "product_id", "unit_cost")
+
+
+def _removed(t: Layers):
+    """Distinct countries with the policy, and after it is taken away."""
+    stock = t.inventory()
+    limited = secure(stock, Policy(row_filter=by_attribute("country", "countries")), ANA)
+    seen = lambda df, name: df.select("country").distinct().agg(F.count("*").alias("countries")).select(
+        F.lit(name).alias("state"), "countries"
+    )
+    return seen(limited, "filtered").unionAll(seen(secure(stock, Policy(), ANA), "removed"))
+
+
+def _scans(t: Layers) -> DataFrame:
+    out = None
+    for name in CLASS_TABLES:
+        scan = sensitive_scan(getattr(t, name)(), name)
+        out = scan if out is None else out.unionAll(scan)
+    return out
+
+
+def _tags(t: Layers) -> DataFrame:
+    """Tags that the scan of the tables sets: the class of each sensitive column."""
+    found = _scans(t).filter("sensitive")
+    kinds = found.select("table_name", "column_name", F.lit("kind").alias("tag_name"), F.col("kind").alias("tag_value"))
+    marks = found.select(
+        "table_name", "column_name", F.lit("classification").alias("tag_name"), F.lit("pii").alias("tag_value")
+    )
+    return kinds.unionAll(marks)
+
+
+def _abac(t: Layers):
+    policy = policy_from_tags(_tags(t), "transactions", {"card": mask_card}, frozenset({"fraud_desk"}))
+    return secure(t.transactions(), policy, ANA).select("tx_id", "card_number", "customer_id")
+
+
+def _sql_functions(t: Layers):
+    """A row filter and a mask as SQL functions, used in plain SQL."""
+    t.spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION oreflow_may_see(country STRING) RETURNS BOOLEAN RETURN country = 'CO'"
+    )
+    t.spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION oreflow_hide_card(card STRING) RETURNS STRING "
+        "RETURN concat('****-****-****-', substring(card, -4, 4))"
+    )
+    t.transactions().createOrReplaceTempView("oreflow_transactions")
+    return t.spark.sql(
+        "SELECT tx_id, oreflow_hide_card(card_number) AS card_number FROM oreflow_transactions "
+        "WHERE oreflow_may_see(country)"
+    )
+
+
+def _tagged_by_hand(t: Layers):
+    """Tags set by hand for the card column, joined to what the scan found."""
+    tags = tag_frame(t.spark, [("transactions", "card_number", "owner", "risk_team")]).unionAll(_tags(t))
+    return find_tagged(tags, "pii")
+
+
+QUERIES = {
+    "row_filter": query(_row_filter),
+    "row_filter_groups": query(_group_filter),
+    "mask_null": query(_mask_null),
+    "policy_removed": query(_removed),
+    "pii_scan": query(_scans),
+    "find_tagged": query(_tagged_by_hand),
+    "abac_mask": query(_abac),
+    "sql_udf": query(_sql_functions),
+}
+
+_TEXT_COLUMNS = {
+    "transactions": (
+        "tx1",
+        "tx_id card_number merchant_category country currency channel region occurred_at device_id".split(),
+    ),
+    "customers": ("customers", ["segment", "region"]),
+    "products": ("products", ["product_name", "category", "brand"]),
+}
+_SEEN = """select caller, country, count(*) as rows from (
+        select 'ana' as caller, country from inventory where country = 'ASIA'
+        union all select 'ben', country from inventory where country in ('EUROPE', 'AFRICA')) group by 1, 2"""
+
+SQL = {
+    "row_filter": sql(_SEEN, "inventory"),
+    "row_filter_groups": sql(_SEEN, "inventory"),
+    "mask_null": sql(
+        """select 'ana' as caller, product_id, null::double as unit_cost from products
+        union all select 'ben', product_id, unit_cost::double from products""",
+        "products",
+    ),
+    "policy_removed": sql(
+        """select 'filtered' as state, count(distinct country) as countries from inventory where country = 'ASIA'
+        union all select 'removed', count(distinct country) from inventory""",
+        "inventory",
+    ),
+    "pii_scan": sql(
+        " union all ".join(
+            f"""select '{name}' as table_name, '{c}' as column_name, '{kind}' as kind, count({c}) as filled,
+            count_if(regexp_matches({c}, '{pattern}'))::bigint as hits,
+            coalesce(count_if(regexp_matches({c}, '{pattern}'))::double / nullif(count({c}), 0) >= 0.8, false) as sensitive
+            from {source}"""
+            for name, (source, columns) in _TEXT_COLUMNS.items()
+            for c in columns
+            for kind, pattern in SENSITIVE_PATTERNS.items()
+        ),
+        "tx1",
+        "customers",
+        "products",
+    ),
+    "find_tagged": sql(
+        """select 'transactions' as table_name, 'card_number' as column_name, 'classification' as tag_name,
+        'pii' as tag_value from tx1 having count_if(regexp_matches(card_number, '^[0-9]{4}(-[0-9]{4}){3}$')) >= 0.8 * count(*)""",
+        "tx1",
+    ),
+    "abac_mask": sql(
+        "select tx_id, concat('****-****-****-', right(card_number, 4)) as card_number, customer_id from tx1", "tx1"
+    ),
+    "sql_udf": sql(
+        """select tx_id, concat('****-****-****-', right(card_number, 4)) as card_number from tx1
+        where country = 'CO'""",
+        "tx1",
+    ),
+}
