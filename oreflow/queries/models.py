@@ -1,2 +1,99 @@
-QUERIES: dict = {}
-SQL: dict = {}
+"""Training and scoring with distributed learners; checked by rows and by unit tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from oreflow.functions.bands import risk_band
+from oreflow.operators.metrics import auc, forecast_errors
+from oreflow.operators.models import ModelStore, boosting_pipeline, forest_pipeline, with_probability
+from oreflow.operators.splits import stratified_split, time_split
+from oreflow.plans import forecast as fc
+from oreflow.plans import fraud as fr
+from oreflow.plans.sales_reports import country_daily_series
+from oreflow.queries.base import Layers, query
+from oreflow.session import materialise, scratch_dir
+from oreflow.streaming.scoring import score_stream
+
+# Parameters for the named queries; the library's defaults are 200 trees and 120 rounds.
+TREES, FOREST_DEPTH, ROUNDS, BOOST_DEPTH = 20, 6, 10, 3
+ALIAS = "champion"
+
+_stores: dict[tuple[str, str], ModelStore] = {}
+
+
+def fraud_table(t: Layers) -> DataFrame:
+    """Features with their row key, written once before training reads them many times."""
+    silver = t.silver_tx()
+    return materialise(fr.fraud_features(silver, fr.category_means(silver), keep=["tx_id"]), "features")
+
+
+def fraud_store(t: Layers) -> ModelStore:
+    """A store whose champion is trained on 75% of each class and measured on the rest."""
+    key = (t.spark.sparkContext.applicationId, t.dir)
+    if key not in _stores:
+        store = ModelStore(t.spark, scratch_dir(t.spark, "models"))
+        split = stratified_split(fraud_table(t), F.concat(F.col("tx_id"), F.lit("split")))
+        train, test = split.filter("part = 'train'").drop("part"), split.filter("part = 'test'").drop("part")
+        pipeline = boosting_pipeline("is_fraud", fr.CATEGORY_FEATURES, fr.NUMBER_FEATURES, ROUNDS, BOOST_DEPTH)
+        model = pipeline.fit(train)
+        scored = with_probability(model, test).withColumn(
+            "_score", F.round(F.col("fraud_probability") * 1_000_000).cast("bigint")
+        )
+        value = auc(scored, "_score", F.col("is_fraud") == 1).first()["auc"]
+        store.promote(ALIAS, store.save(model, "v1"), "auc", value if value is not None else 0.0)
+        _stores[key] = store
+    return _stores[key]
+
+
+def _fraud_scores(t: Layers) -> DataFrame:
+    """Every transaction with its probability and band, most suspicious first."""
+    scored = with_probability(fraud_store(t).load(ALIAS), fraud_table(t))
+    return scored.select(
+        "tx_id", "amount", "merchant_category", "channel", "is_fraud", "fraud_probability",
+        risk_band(F.col("fraud_probability")).alias("band"),
+    ).orderBy(F.desc("fraud_probability"), "tx_id")
+
+
+def _score_batch(t: Layers) -> DataFrame:
+    """The champion's quality and the alias row that says where it lies."""
+    store = fraud_store(t)
+    scored = with_probability(store.load(ALIAS), fraud_table(t)).withColumn(
+        "_score", F.round(F.col("fraud_probability") * 1_000_000).cast("bigint")
+    )
+    return auc(scored, "_score", F.col("is_fraud") == 1).withColumn("alias", F.lit(ALIAS))
+
+
+def _score_stream(t: Layers) -> DataFrame:
+    """Feature rows arrive as a stream; each is scored and banded once."""
+    features = fraud_table(t).drop("is_fraud")
+    source, sink, checkpoint = (scratch_dir(t.spark, n) for n in ("arrivals", "scored", "checkpoint"))
+    features.write.parquet(source)
+    stream = t.spark.readStream.schema(features.schema).parquet(source)
+    score_stream(stream, fraud_store(t).load(ALIAS), sink, checkpoint)
+    return t.spark.read.parquet(sink).select("tx_id", "fraud_probability", "band")
+
+
+def _forecast(t: Layers) -> DataFrame:
+    """Forests for amount and units; the band comes from a back-test on the last 60 days."""
+    series = materialise(country_daily_series(t.daily()), "series")
+    origin = F.lit(series.agg(F.min("day")).first()[0])
+    days = fc.with_calendar(
+        series.withColumns({m: F.col(m).cast("double") for m in ("amount", "units")}), origin
+    )
+    split = time_split(days, "day", 60)
+    make = lambda target: forest_pipeline(target, ["country"], fc.CALENDAR_NUMBERS, TREES, FOREST_DEPTH)
+    tested = make("amount").fit(split.filter("part = 'train'")).transform(split.filter("part = 'test'"))
+    errors = forecast_errors(tested, "amount", "amount_predicted").first()
+    future = fc.with_calendar(fc.forecast_grid(series), origin)
+    return fc.forest_forecast(future, make("amount").fit(days), make("units").fit(days), errors["residual_sd"])
+
+
+QUERIES = {
+    "forecast_90d": query(_forecast),
+    "fraud_scores": query(_fraud_scores),
+    "score_batch": query(_score_batch),
+    "score_stream": query(_score_stream),
+}
+SQL: dict[str, str] = {}
