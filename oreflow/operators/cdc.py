@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.operators.dedupe import dedupe_by_key
-from oreflow.operators.sequences import with_neighbours
+from oreflow.operators.sequences import HOT_ROWS, hot_keys, with_neighbours
 
 
 def scd1(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str], deleted: Column | None = None) -> DataFrame:
@@ -31,18 +31,20 @@ def scd2(
     sequence: Sequence[str],
     tracked: Sequence[str],
     bucket: Column,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per span in which the tracked columns of a key stayed the same.
 
     Repeated states are merged first; ``valid_to`` is the start of the next span, NULL for the
     current one. ``sequence[0]`` is the time, ``bucket`` a coarse time such as its date.
     """
-    seen = with_neighbours(changes, keys, bucket, sequence, previous=[*tracked, sequence[0]])
+    hot = hot_keys(changes, keys, hot_rows)
+    seen = with_neighbours(changes, keys, bucket, sequence, previous=[*tracked, sequence[0]], hot=hot)
     same = F.col(f"prev_{sequence[0]}").isNotNull()
     for c in tracked:
         same = same & F.col(c).eqNullSafe(F.col(f"prev_{c}"))
     starts = seen.filter(~same).drop(*[f"prev_{c}" for c in [*tracked, sequence[0]]])
-    spans = with_neighbours(starts, keys, bucket, sequence, following=[sequence[0]])
+    spans = with_neighbours(starts, keys, bucket, sequence, following=[sequence[0]], hot=hot)
     return (
         spans.withColumnRenamed(sequence[0], "valid_from")
         .withColumnRenamed(f"next_{sequence[0]}", "valid_to")

@@ -22,13 +22,19 @@ def join_small(
     return fact.join(F.broadcast(dim) if small_enough(dim, max_rows) else dim, on, how)
 
 
-def grid(df: DataFrame, values: DataFrame, column: str) -> DataFrame:
+GRID_VALUES = 1_000
+
+
+def grid(df: DataFrame, values: DataFrame, column: str, max_values: int = GRID_VALUES) -> DataFrame:
     """Every row once per distinct value of a short list (countries, not customers).
 
     The list travels as one array value, so each row expands where it is and nothing shuffles.
+    A list longer than ``max_values`` stops the job: it would not be a short list.
     """
-    listed = values.agg(F.sort_array(F.collect_set(column))).scalar()
-    return df.withColumn(column, F.explode(listed))
+    short = values.select(column).distinct().limit(max_values + 1)
+    listed = F.sort_array(F.collect_set(column))
+    checked = F.when(F.count("*") > max_values, F.raise_error(F.lit(f"more than {max_values} values of {column}")))
+    return df.withColumn(column, F.explode(short.agg(F.coalesce(checked.cast("array<string>"), listed)).scalar()))
 
 
 def future_days(last: Column, days: int) -> Column:

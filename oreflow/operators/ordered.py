@@ -31,7 +31,7 @@ def order_statistics(df: DataFrame, value: str, ranks: Callable[[int], Sequence[
     Runs small jobs, as ``approxQuantile`` does; each brings one row per rank to the driver.
     """
     counts = value_counts(df, value)
-    n, low, top = counts.agg(F.sum("rows"), F.min("v"), F.max("v")).first()
+    n, low, top, distinct = counts.agg(F.sum("rows"), F.min("v"), F.max("v"), F.count("*")).first()
     if n is None:
         return 0, []
     if low < 0:
@@ -42,8 +42,9 @@ def order_statistics(df: DataFrame, value: str, ranks: Callable[[int], Sequence[
     shift = max(0, math.ceil(max(top.bit_length(), 1) / LAYER_BITS) * LAYER_BITS)
     # (rank inside the bucket, bucket) per wanted rank; at the start one bucket holds all rows.
     found = [(r, 0) for r in wanted]
+    few = distinct <= 2**LAYER_BITS
     while shift > 0:
-        parent, shift = shift, shift - LAYER_BITS
+        parent, shift = shift, 0 if few else shift - LAYER_BITS
         buckets = sorted({b for _, b in found})
         layer = (
             counts.withColumn("parent", F.shiftright("v", parent) if parent < 64 else F.lit(0).cast("bigint"))

@@ -12,6 +12,7 @@ One writer at a time.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from dataclasses import dataclass
 from datetime import datetime
@@ -28,10 +29,28 @@ COMMIT_SCHEMA = (
 )
 
 
+# Words whose meaning changes with the moment, the caller or other tables. A stored
+# predicate is evaluated at every read, so none of them may occur in it.
+UNSTABLE = re.compile(
+    r"\b(current_date|current_timestamp|current_time|current_user|session_user|localtimestamp|select)\b"
+    r"|\b(user|now|curdate|unix_timestamp|rand|randn|random|uuid|shuffle|monotonically_increasing_id"
+    r"|spark_partition_id|input_file_name)\s*\(",
+    re.IGNORECASE,
+)
+
+
 class VersionError(ValueError):
     """The asked version does not exist."""
 
 
+def stable(where: str) -> str:
+    """The predicate, if it means the same at every later read."""
+    code = re.sub(r"'(?:[^'\\]|\\.)*'", "''", where)
+    if UNSTABLE.search(code):
+        raise ValueError(f"give moments, users and looked-up values as literals: {where}")
+    return where
+
+
 @dataclass(frozen=True)
 class VersionedTable:
     spark: SparkSession
@@ -124,7 +143,7 @@ class VersionedTable:
 
     def update(self, where: str, **changes: str | Column) -> int:
         """Set columns where the predicate is TRUE. Every matching row counts as affected."""
-        now = self._commit()
+        where, now = stable(where), self._commit()
         matching = self._read(now).filter(F.expr(where))
         types = {f.name: f.dataType for f in matching.schema.fields}
         changed = matching.withColumns(
@@ -139,7 +158,7 @@ class VersionedTable:
         return self._next("UPDATE", matching.schema, [*kept, part], rows, now["version"])
 
     def delete(self, where: str) -> int:
-        now = self._commit()
+        where, now = stable(where), self._commit()
         current = self._read(now)
         rows = current.filter(F.expr(where)).count()
         kept = [{**p, "removed": [*p["removed"], where]} for p in _parts(now)]

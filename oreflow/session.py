@@ -22,6 +22,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "ore
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
+        # Python call sites in error texts cost milliseconds per Column; plans have hundreds.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
