@@ -68,7 +68,7 @@ def by_group(column: str, prefix: str) -> Callable[[Identity], Column]:
 def secure(df: DataFrame, policy: Policy, who: Identity) -> DataFrame:
     """The frame as this caller may see it."""
     if policy.row_filter is not None:
-        df = df.filter(F.coalesce(policy.row_filter(who), F.lit(False)))
+        df = df.filter(policy.row_filter(who))
     if policy.masks and not (policy.unmasked_groups & who.groups):
         types = {f.name: f.dataType for f in df.schema.fields}
         df = df.withColumns(

@@ -14,15 +14,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.session import materialise
-
 LAYER_BITS = 20
 
 
 def value_counts(df: DataFrame, value: str) -> DataFrame:
-    """Rows per distinct value, written once: the only pass over the table."""
-    counts = df.select(F.col(value).alias("v")).filter("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("rows"))
-    return materialise(counts, "value-counts")
+    """Rows per distinct value: the only pass over the table."""
+    return df.select(F.col(value).alias("v")).filter("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("rows"))
 
 
 def order_statistics(df: DataFrame, value: str, ranks: Callable[[int], Sequence[int]]) -> tuple[int, list[int | None]]:
@@ -30,19 +27,26 @@ def order_statistics(df: DataFrame, value: str, ranks: Callable[[int], Sequence[
 
     Runs small jobs, as ``approxQuantile`` does; each brings one row per rank to the driver.
     """
-    counts = value_counts(df, value)
-    n, low, top, distinct = counts.agg(F.sum("rows"), F.min("v"), F.max("v"), F.count("*")).first()
-    if n is None:
-        return 0, []
-    if low < 0:
-        raise ValueError(f"{value} must not be negative")
-    wanted = list(ranks(n))
-    if any(not 0 <= r < n for r in wanted):
-        raise ValueError("rank outside the table")
-    shift = max(0, math.ceil(max(top.bit_length(), 1) / LAYER_BITS) * LAYER_BITS)
+    counts = value_counts(df, value).persist()
+    try:
+        n, low, top, distinct = counts.agg(F.sum("rows"), F.min("v"), F.max("v"), F.count("*")).first()
+        if n is None:
+            return 0, []
+        if low < 0:
+            raise ValueError(f"{value} must not be negative")
+        wanted = list(ranks(n))
+        if any(not 0 <= r < n for r in wanted):
+            raise ValueError("rank outside the table")
+        return n, _locate(counts, wanted, top.bit_length(), few=distinct <= 2**LAYER_BITS)
+    finally:
+        counts.unpersist()
+
+
+def _locate(counts: DataFrame, wanted: Sequence[int], bits: int, few: bool) -> list[int]:
+    """The value at each rank, one layer of bits after the other; one layer when values are few."""
+    shift = max(1, math.ceil(bits / LAYER_BITS)) * LAYER_BITS
     # (rank inside the bucket, bucket) per wanted rank; at the start one bucket holds all rows.
     found = [(r, 0) for r in wanted]
-    few = distinct <= 2**LAYER_BITS
     while shift > 0:
         parent, shift = shift, 0 if few else shift - LAYER_BITS
         buckets = sorted({b for _, b in found})
@@ -67,7 +71,7 @@ def order_statistics(df: DataFrame, value: str, ranks: Callable[[int], Sequence[
             )
             for r, b in found
         ]
-    return n, [b for _, b in found]
+    return [b for _, b in found]
 
 
 def exact_quantile(df: DataFrame, value: str, p: float) -> float | None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -29,14 +30,13 @@ class QualityError(RuntimeError):
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Drop and fail rules, all judged on the same input rows; works on batch and stream."""
-    keep = F.lit(True)
+    # A filter already drops rows where the predicate is NULL; bare predicates can reach the scan.
+    keep = [F.expr(rule.predicate) for rule in rules if rule.action == DROP]
     for rule in rules:
-        if rule.action == DROP:
-            keep = keep & rule.passed()
-        elif rule.action == FAIL:
+        if rule.action == FAIL:
             stop = F.raise_error(F.lit(f"rule {rule.name} failed: {rule.predicate}")).cast("boolean")
-            keep = F.when(rule.passed(), True).otherwise(stop) & keep
-    return df.filter(keep)
+            keep.insert(0, F.when(rule.passed(), True).otherwise(stop))
+    return df.filter(reduce(lambda a, b: a & b, keep)) if keep else df
 
 
 def flag_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -14,6 +14,7 @@ from oreflow.plans import fraud_reports as rp
 from oreflow.queries.base import Layers, query
 from oreflow.queries.oracle import TX_AS_OF, ratio, sql
 from oreflow.queries.oracle import bucket as q_bucket
+from oreflow.session import materialise
 
 _TX = (
     "tx_id, customer_id, card_number, amount::double as amount, currency, merchant_category, channel, country, region, "
@@ -22,7 +23,7 @@ _TX = (
 
 
 def _features(t: Layers):
-    silver = t.silver_tx()
+    silver = t.stored_silver_tx()
     return fr.fraud_features(silver, fr.category_means(silver), keep=["tx_id"])
 
 
@@ -49,7 +50,7 @@ def _deviation(t: Layers):
 
 def _progression(t: Layers):
     """AUC of the amount, of the amount over its category mean, and of the full rule score."""
-    tx = t.labelled_transactions().join(t.customers().drop("region"), "customer_id", "left")
+    tx = materialise(t.labelled_transactions(), "labelled").join(t.customers().drop("region"), "customer_id", "left")
     fresh = (F.col("tenure_months") < 12) & (F.col("credit_score") < 500)
     tx = tx.withColumns(
         {

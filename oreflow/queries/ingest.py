@@ -13,7 +13,7 @@ from oreflow.plans.fraud import SILVER_COLUMNS, TX_RULES, gold_daily_risk, refin
 from oreflow.queries.base import Layers, query
 from oreflow.queries.oracle import SALES_AS_OF, sql
 from oreflow.queries.oracle import bucket as q_bucket
-from oreflow.session import scratch_dir
+from oreflow.session import materialise, scratch_dir
 from oreflow.sources import files, schemas
 from oreflow.sources.files import SOURCE_FILE
 from oreflow.sources.rescue import RESCUED, parse_with_rescue
@@ -195,7 +195,8 @@ def _places(t: Layers, name: str) -> tuple[str, str, str]:
 
 def _sales_split(t: Layers) -> tuple[DataFrame, DataFrame]:
     raw = t.sales().withColumn("day", F.to_date(F.substring("sold_at", 1, 10)))
-    split = recency_split(raw.select("sale_id", "day", "quantity", "amount"), "day", 0.045, t.sales_as_of())
+    raw = materialise(raw.select("sale_id", "day", "quantity", "amount"), "raw-sales")
+    split = recency_split(raw, "day", 0.045, t.sales_as_of())
     return split.filter("batch = 'initial'").drop("batch"), split.filter("batch = 'late'").drop("batch")
 
 
@@ -275,7 +276,7 @@ def _stream_silver(t: Layers) -> str:
     """Bronze holds every transaction twice; the stream keeps one. Two drains, then silver."""
     bronze, silver, checkpoint = _places(t, "silver")
     metrics = scratch_dir(t.spark, "metrics")
-    raw = t.labelled_transactions()
+    raw = materialise(t.labelled_transactions(), "labelled")
     customers = t.customers()
     schema = raw.schema
     raw.write.mode("append").parquet(bronze)

@@ -11,7 +11,6 @@ from oreflow.operators.models import ModelStore, boosting_pipeline, forest_pipel
 from oreflow.operators.splits import stratified_split, time_split
 from oreflow.plans import forecast as fc
 from oreflow.plans import fraud as fr
-from oreflow.plans.sales_reports import country_daily_series
 from oreflow.queries.base import Layers, query
 from oreflow.session import materialise, scratch_dir
 from oreflow.streaming.scoring import score_stream
@@ -25,7 +24,7 @@ _stores: dict[tuple[str, str], ModelStore] = {}
 
 def fraud_table(t: Layers) -> DataFrame:
     """Features with their row key, written once before training reads them many times."""
-    silver = t.silver_tx()
+    silver = t.stored_silver_tx()
     return materialise(fr.fraud_features(silver, fr.category_means(silver), keep=["tx_id"]), "features")
 
 
@@ -77,7 +76,7 @@ def _score_stream(t: Layers) -> DataFrame:
 
 def _forecast(t: Layers) -> DataFrame:
     """Forests for amount and units; the band comes from a back-test on the last 60 days."""
-    series = materialise(country_daily_series(t.daily()), "series")
+    series = t.series()
     origin = F.lit(series.agg(F.min("day")).first()[0])
     days = fc.with_calendar(
         series.withColumns({m: F.col(m).cast("double") for m in ("amount", "units")}), origin

@@ -67,6 +67,11 @@ def _loss(t: Layers):
     return loss.withColumn("ok", F.col("rows_after") >= F.col("rows_before") * F.lit(0.99))
 
 
+def _validate_retail(t: Layers):
+    silver = t.stored_silver()
+    return gate(validation.validate_retail(t.daily(silver), t.status(silver)))
+
+
 def _completeness(t: Layers):
     counts = monitors.daily_counts(t.events, F.to_date("ts"), ["event_type"])
     return monitors.completeness(counts, ["event_type"], history=14, width=2.0).select(
@@ -129,7 +134,7 @@ QUERIES = {
     "lossless_join_guard": query(_loss),
     "file_control_sales": query(lambda t: validation.file_control_sales(t.sales(), **SALES_CONTROL)),
     "file_control_tx": query(lambda t: validation.file_control_transactions(t.labelled_transactions(), **TX_CONTROL)),
-    "validate_retail": query(lambda t: gate(validation.validate_retail(t.daily(), t.status()))),
+    "validate_retail": query(_validate_retail),
     "validate_fraud": query(lambda t: gate(validation.validate_fraud(t.risk()))),
     "completeness_anomaly": query(_completeness),
     "null_rate_anomaly": query(_null_rates),

@@ -11,7 +11,7 @@ from oreflow.operators.splits import recency_split, time_split
 from oreflow.operators.metrics import forecast_errors
 from oreflow.plans import forecast as fc
 from oreflow.plans import sales_reports as rp
-from oreflow.plans.sales import ratio, unique_sales
+from oreflow.plans.sales import ratio
 from oreflow.queries.base import Layers, query
 from oreflow.queries.oracle import SALES_AS_OF, money, sql
 from oreflow.queries.oracle import ratio as q_ratio
@@ -28,9 +28,14 @@ _SALE = (
 )
 
 
+def _kpi_totals(t: Layers):
+    silver = t.stored_silver()
+    return rp.kpi_retail_totals(t.daily(silver), t.status(silver))
+
+
 def _distinct_counts(t: Layers):
     """Exact distinct values per column: one narrow distinct each, no row expansion."""
-    sales = t.silver()
+    sales = t.stored_silver()
     out = None
     for c in ("product_id", "country", "channel", "category"):
         n = sales.select(c).distinct().agg(F.count(c).alias("values")).select(F.lit(c).alias("column_name"), "values")
@@ -47,21 +52,21 @@ def _recency(t: Layers):
 
 
 def _baseline(t: Layers):
-    return fc.seasonal_baseline(rp.country_daily_series(t.daily()))
+    return fc.seasonal_baseline(t.series())
 
 
 def _backtest(t: Layers):
-    split = time_split(rp.country_daily_series(t.daily()), "day", 60)
+    split = time_split(t.series(), "day", 60)
     return fc.baseline_backtest(split, "amount").withColumn("amount", F.col("amount").cast("double"))
 
 
 def _history_forecast(t: Layers):
-    series = rp.country_daily_series(t.daily())
+    series = t.series()
     return fc.history_union_forecast(series, fc.seasonal_baseline(series))
 
 
 def _actual_vs(t: Layers):
-    series = rp.country_daily_series(t.daily())
+    series = t.series()
     split = time_split(series, "day", 60)
     predicted = fc.baseline_backtest(split, "amount").withColumnRenamed("predicted", "amount_forecast")
     both = fc.actual_vs_forecast(series, predicted)
@@ -73,7 +78,7 @@ def _actual_vs(t: Layers):
 
 
 def _future_only(t: Layers):
-    series = rp.country_daily_series(t.daily())
+    series = t.series()
     both = fc.history_union_forecast(series, fc.seasonal_baseline(series)).select("day", "amount_forecast")
     return fc.future_only(both, series)
 
@@ -94,7 +99,7 @@ QUERIES = {
     "gold_product_sales": query(lambda t: t.product_sales()),
     "recent_window_demand": query(lambda t: t.demand()),
     "inventory_status": query(lambda t: t.status()),
-    "dedupe_by_key": query(lambda t: unique_sales(t.sales())),
+    "dedupe_by_key": query(lambda t: t.unique_sales()),
     "monthly_sales": query(lambda t: rp.monthly_sales(t.daily())),
     "weekday_profile": query(lambda t: rp.weekday_profile(t.daily())),
     "country_daily_series": query(lambda t: rp.country_daily_series(t.daily())),
@@ -115,11 +120,11 @@ QUERIES = {
             ratio(F.sum("unit_cost"), F.sum("list_price"), 3).alias("cost_over_price"),
         )
     ),
-    "kpi_retail_totals": query(lambda t: rp.kpi_retail_totals(t.daily(), t.status())),
+    "kpi_retail_totals": query(_kpi_totals),
     "top_products": query(lambda t: rp.top_products(t.product_sales())),
-    "star_products": query(lambda t: rp.star_products(t.product_sales())),
+    "star_products": query(lambda t: rp.star_products(t.stored_product_sales())),
     "star_products_example": query(lambda t: rp.star_products_example(t.product_sales())),
-    "low_performers": query(lambda t: rp.low_performers(t.product_sales())),
+    "low_performers": query(lambda t: rp.low_performers(t.stored_product_sales())),
     "top_margin_products": query(lambda t: rp.top_margin_products(t.product_sales())),
     "quarter_growth": query(lambda t: rp.quarter_growth(t.daily())),
     "top_category_per_country": query(lambda t: rp.top_category_per_country(t.daily())),
@@ -159,14 +164,14 @@ QUERIES = {
     ),
     "orphan_facts": query(_orphans),
     "recency_split": query(_recency),
-    "forecast_grid": query(lambda t: fc.forecast_grid(rp.country_daily_series(t.daily()))),
+    "forecast_grid": query(lambda t: fc.forecast_grid(t.series())),
     "seasonal_baseline": query(_baseline),
     "forecast_by_country": query(lambda t: fc.forecast_by_country(_baseline(t))),
     "history_union_forecast": query(_history_forecast),
     "actual_vs_forecast": query(_actual_vs),
     "future_only": query(_future_only),
     "time_split": query(
-        lambda t: time_split(rp.country_daily_series(t.daily()), "day", 60)
+        lambda t: time_split(t.series(), "day", 60)
         .groupBy("part", "country")
         .agg(F.count("*").alias("days"), F.sum("amount").alias("amount"), F.min("day").alias("first_day"))
     ),

@@ -12,6 +12,7 @@ from oreflow.queries.base import Layers, query
 from oreflow.queries.oracle import bucket as q_bucket
 from oreflow.queries.oracle import ratio as q_ratio
 from oreflow.queries.oracle import sql
+from oreflow.session import materialise
 
 # A weighted list, and a code for each merchant category.
 DRAW = [("store", 5), ("online", 3), ("marketplace", 2)]
@@ -53,7 +54,7 @@ def _parsed(t: Layers):
 
 
 def _calendar(t: Layers):
-    days = t.daily().select("day").distinct()
+    days = materialise(t.daily().select("day").distinct(), "days")
     origin = days.agg(F.min("day")).scalar()
     columns = calendar_columns(F.col("day"), origin)
     waves = {c: F.round(columns[c], 9) for c in ("sin_year", "cos_year")}
@@ -62,7 +63,7 @@ def _calendar(t: Layers):
 
 def _season(t: Layers):
     """Mean amount per month over the overall mean: the index learned from the daily table."""
-    daily = t.daily().groupBy("day").agg(F.sum("amount").alias("amount"))
+    daily = t.series().groupBy("day").agg(F.sum("amount").alias("amount"))
     mean = daily.agg(ratio(F.sum("amount"), F.count("*"), 10)).scalar()
     per_month = daily.groupBy(F.month("day").alias("month")).agg(
         F.count("*").alias("days"), ratio(F.sum("amount"), F.count("*"), 10).alias("_mean")
