@@ -31,12 +31,14 @@ class QualityError(RuntimeError):
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Drop and fail rules, all judged on the same input rows; works on batch and stream."""
     # A filter already drops rows where the predicate is NULL; bare predicates can reach the scan.
-    keep = [F.expr(rule.predicate) for rule in rules if rule.action == DROP]
-    for rule in rules:
-        if rule.action == FAIL:
-            stop = F.raise_error(F.lit(f"rule {rule.name} failed: {rule.predicate}")).cast("boolean")
-            keep.insert(0, F.when(rule.passed(), True).otherwise(stop))
-    return df.filter(reduce(lambda a, b: a & b, keep)) if keep else df
+    drops = [F.expr(rule.predicate) for rule in rules if rule.action == DROP]
+    keep = reduce(lambda a, b: a & b, drops) if drops else F.lit(True)
+    fails = [rule for rule in rules if rule.action == FAIL]
+    # One CASE cannot be split, so a row that breaks both kinds of rule still stops the job.
+    for rule in reversed(fails):
+        stop = F.raise_error(F.lit(f"rule {rule.name} failed: {rule.predicate}")).cast("boolean")
+        keep = F.when(~rule.passed(), stop).otherwise(keep)
+    return df.filter(keep)
 
 
 def flag_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -50,6 +50,12 @@ def test_fail_rule_stops_the_job(frame):
         apply_rules(frame, [Rule("positive", "q > 0", FAIL)]).collect()
 
 
+def test_fail_rule_sees_rows_that_a_drop_rule_removes(frame):
+    rules = [Rule("positive", "q > 0", DROP), Rule("above", "q > -1", FAIL)]
+    with pytest.raises(PySparkException, match="rule above failed"):
+        apply_rules(frame.filter("q IS NOT NULL"), rules).collect()
+
+
 def test_fail_rule_lets_good_rows_through(frame):
     good = frame.filter("q > 0")
     assert apply_rules(good, [Rule("positive", "q > 0", FAIL)]).count() == 3
