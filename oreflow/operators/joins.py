@@ -12,7 +12,7 @@ BROADCAST_ROWS = 200_000
 
 def small_enough(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when the frame has at most ``max_rows`` rows; reads no more rows than it must."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
 
 
 def join_small(

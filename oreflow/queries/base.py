@@ -53,6 +53,14 @@ class Layers(Tables):
     def stored_silver_tx(self) -> DataFrame:
         return materialise(self.silver_tx(), "silver-tx")
 
+    def stored_unlabelled_tx(self) -> DataFrame:
+        return materialise(self.unlabelled_tx(), "silver-tx")
+
+    @staticmethod
+    def stored_means(silver: DataFrame) -> DataFrame:
+        """Category means as a small table, which Spark may broadcast by its file size."""
+        return materialise(fraud.category_means(silver), "category-means")
+
     def risk(self) -> DataFrame:
         return fraud.gold_daily_risk(self.silver_tx())
 

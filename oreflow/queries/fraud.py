@@ -24,12 +24,12 @@ _TX = (
 
 def _features(t: Layers):
     silver = t.stored_silver_tx()
-    return fr.fraud_features(silver, fr.category_means(silver), keep=["tx_id"])
+    return fr.fraud_features(silver, t.stored_means(silver), keep=["tx_id"])
 
 
 def _suspects(t: Layers):
-    silver = t.unlabelled_tx()
-    return fr.suspicious(silver, fr.category_means(silver))
+    silver = t.stored_unlabelled_tx()
+    return fr.suspicious(silver, t.stored_means(silver))
 
 
 def _suspicious(t: Layers):
@@ -42,8 +42,8 @@ def _suspicious(t: Layers):
 
 
 def _deviation(t: Layers):
-    silver = t.unlabelled_tx()
-    return fr.with_deviation(silver, fr.category_means(silver)).select(
+    silver = t.stored_unlabelled_tx()
+    return fr.with_deviation(silver, t.stored_means(silver)).select(
         "tx_id", "merchant_category", "amount", F.round("amount_deviation", 6).alias("amount_deviation")
     )
 

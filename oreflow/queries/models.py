@@ -25,7 +25,7 @@ _stores: dict[tuple[str, str], ModelStore] = {}
 def fraud_table(t: Layers) -> DataFrame:
     """Features with their row key, written once before training reads them many times."""
     silver = t.stored_silver_tx()
-    return materialise(fr.fraud_features(silver, fr.category_means(silver), keep=["tx_id"]), "features")
+    return materialise(fr.fraud_features(silver, t.stored_means(silver), keep=["tx_id"]), "features")
 
 
 def fraud_store(t: Layers) -> ModelStore:

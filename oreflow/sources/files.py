@@ -74,3 +74,17 @@ def write_single(df: DataFrame, path: str, fmt: str) -> None:
 def overwrite_table(df: DataFrame, path: str) -> None:
     """Replace a dataset and its schema."""
     df.write.mode("overwrite").parquet(path)
+
+
+def overwrite_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
+    """Replace only the partitions that occur in the frame, such as the days just recomputed.
+
+    ``REBALANCE`` gathers each partition into few files and still splits one that is too large.
+    """
+    (
+        df.hint("rebalance", *partition_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )

@@ -1,34 +1,29 @@
-"""Apply a change stream to a current-state table, one micro-batch at a time."""
+"""Apply a change stream to a current-state table."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
-from oreflow.operators.cdc import merge_scd1
+from oreflow.operators.cdc import scd1
 from oreflow.operators.versioned import VersionedTable, VersionError
 
 
-def run_scd1(
-    stream: DataFrame,
-    table: VersionedTable,
-    keys: Sequence[str],
-    sequence: Sequence[str],
-    checkpoint: str,
-) -> None:
-    """Newest change per key wins. A replayed batch gives the same state again.
+def run_scd1(stream: DataFrame, table: VersionedTable, keys: Sequence[str], sequence: Sequence[str], checkpoint: str) -> None:
+    """Append the newest change per key of every micro-batch.
 
-    Deleting changes stay in the table as tombstones, so that an older change which arrives later
-    cannot bring the key back; readers filter them out.
+    A batch costs what it holds, not what the table holds. A replayed batch appends changes that
+    ``current_state`` ignores. Deleting changes stay as tombstones, so an older change that arrives
+    later cannot bring its key back.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        newest = scd1(batch, keys, sequence)
         try:
-            current = table.read()
+            table.append(newest)
         except VersionError:
-            current = batch.limit(0)
-        table.create_or_replace(merge_scd1(current, batch, keys, sequence))
+            table.create_or_replace(newest)
 
     query = (
         stream.writeStream.foreachBatch(apply)
@@ -37,3 +32,15 @@ def run_scd1(
         .start()
     )
     query.awaitTermination()
+
+
+def current_state(
+    table: VersionedTable, keys: Sequence[str], sequence: Sequence[str], deleted: Column | None = None
+) -> DataFrame:
+    """One row per key: its newest change, unless that change deletes it."""
+    return scd1(table.read(), keys, sequence, deleted)
+
+
+def compact_state(table: VersionedTable, keys: Sequence[str], sequence: Sequence[str]) -> int:
+    """Rewrite the table to one change per key, now and then."""
+    return table.create_or_replace(current_state(table, keys, sequence))

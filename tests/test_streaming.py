@@ -2,8 +2,11 @@ from pyspark.sql import functions as F
 
 from oreflow.operators.quality import DROP, FAIL, WARN, Rule
 from oreflow.operators.versioned import VersionedTable
+from oreflow.plans.jobs import run_fraud_job, run_sales_job
+from oreflow.queries.base import Layers
+from oreflow.sources import files
+from oreflow.streaming.changes import compact_state, current_state, run_scd1
 from oreflow.sources.files import SOURCE_FILE
-from oreflow.streaming.changes import run_scd1
 from oreflow.streaming.ingest import drain, drain_to_table, file_stream
 from oreflow.streaming.silver import dedupe_stream, run_silver
 from tests.conftest import rows
@@ -120,5 +123,46 @@ def test_change_stream_keeps_tombstones(spark, place):
     land(("a", 1, False), ("b", 1, False))
     land(("a", 3, True))
     land(("a", 2, False), ("b", 2, False))
+    assert rows(current_state(table, ["k"], ["seq"])) == [("a", 3, True), ("b", 2, False)]
+    assert rows(current_state(table, ["k"], ["seq"], F.col("gone")), "k") == [("b",)]
+    compact_state(table, ["k"], ["seq"])
     assert rows(table.read()) == [("a", 3, True), ("b", 2, False)]
-    assert rows(table.read().filter("NOT gone"), "k") == [("b",)]
+
+
+def test_jobs_run_twice_and_match_the_batch_plans(spark, place):
+    t = Layers(spark, "/root/testdata/sf0.001")
+    raw, out = place("raw"), place("out")
+    tx = t.labelled_transactions()
+    customers = t.customers()
+    tx.filter("tx_id < 'TX5'").write.json(f"{raw}/tx/first")
+    customers.coalesce(1).write.option("header", True).csv(f"{raw}/customers")
+    schemas = {"transactions": tx.schema, "customers": customers.schema}
+    run_fraud_job(spark, f"{raw}/tx", f"{raw}/customers", schemas, out)
+    tx.filter("tx_id >= 'TX5'").write.json(f"{raw}/tx/second")
+    tx.filter("tx_id < 'TX5'").write.json(f"{raw}/tx/again")
+    checks = run_fraud_job(spark, f"{raw}/tx", f"{raw}/customers", schemas, out)
+    assert checks.filter("NOT ok").isEmpty()
+    gold = spark.read.parquet(f"{out}/tables/gold_daily_risk")
+    assert rows(gold) == rows(t.risk())
+
+
+def test_sales_job_matches_the_batch_plan(spark, place):
+    t = Layers(spark, "/root/testdata/sf0.001")
+    raw, out = place("raw"), place("out")
+    sales, products, inventory = t.unique_sales(), t.products(), t.inventory()
+    sales.write.json(f"{raw}/sales")
+    for name, df in (("products", products), ("inventory", inventory)):
+        df.coalesce(1).write.option("header", True).csv(f"{raw}/{name}")
+    schemas = {"sales": sales.schema, "products": products.schema, "inventory": inventory.schema}
+    for _ in range(2):
+        run_sales_job(spark, f"{raw}/sales", f"{raw}/products", f"{raw}/inventory", schemas, out)
+    for name, want in (("gold_daily_sales", t.daily()), ("gold_inventory_status", t.status())):
+        got = spark.read.parquet(f"{out}/tables/{name}")
+        assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_only_the_given_days_are_replaced(spark, place):
+    path = place("gold")
+    files.overwrite_partitions(spark.createDataFrame([(1, "d1"), (2, "d2")], "v int, day string"), path, "day")
+    files.overwrite_partitions(spark.createDataFrame([(9, "d2")], "v int, day string"), path, "day")
+    assert rows(spark.read.parquet(path), "v", "day") == [(1, "d1"), (9, "d2")]
