@@ -16,6 +16,9 @@ from oreflow.queries.oracle import TX_AS_OF, ratio, sql
 from oreflow.queries.oracle import bucket as q_bucket
 from oreflow.session import materialise
 
+# A new customer with a low score adds points to the risk.
+FRESH_MONTHS, FRESH_SCORE, FRESH_POINTS = 12, 500, 1.5
+
 _TX = (
     "tx_id, customer_id, card_number, amount::double as amount, currency, merchant_category, channel, country, region, "
     "occurred_at, is_fraud, segment, tenure_months, credit_score"
@@ -51,12 +54,12 @@ def _deviation(t: Layers):
 def _progression(t: Layers):
     """AUC of the amount, of the amount over its category mean, and of the full rule score."""
     tx = materialise(t.labelled_transactions(), "labelled").join(t.customers().drop("region"), "customer_id", "left")
-    fresh = (F.col("tenure_months") < 12) & (F.col("credit_score") < 500)
+    fresh = (F.col("tenure_months") < FRESH_MONTHS) & (F.col("credit_score") < FRESH_SCORE)
     tx = tx.withColumns(
         {
             "s1": cents(F.col("value")),
             "s2": F.col("risk") - risk_points(),
-            "s3": F.col("risk") + F.when(fresh, int(1.5 * SCORE_SCALE)).otherwise(0),
+            "s3": F.col("risk") + F.when(fresh, int(FRESH_POINTS * SCORE_SCALE)).otherwise(0),
         }
     )
     steps = (("amount", "s1"), ("relative_amount", "s2"), ("with_customer", "s3"))

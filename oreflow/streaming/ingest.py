@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -58,9 +59,18 @@ def drain_to(stream: DataFrame, sink: str, checkpoint: str) -> None:
 def drain(
     spark: SparkSession, source: str, schema: T.StructType | str, sink: str, checkpoint: str, fmt: str = "json", **options
 ) -> DataFrame:
-    """Ingest a folder into bronze with provenance columns, and read the result."""
-    drain_to(with_provenance(file_stream(spark, source, schema, fmt, **options)), sink, checkpoint)
-    return spark.read.parquet(sink)
+    """Ingest a folder into bronze with provenance columns, and read the result.
+
+    The result is read under the stream's schema, so an empty folder gives an empty frame.
+    """
+    stream = with_provenance(file_stream(spark, source, schema, fmt, **options))
+    drain_to(stream, sink, checkpoint)
+    try:
+        return spark.read.schema(stream.schema).parquet(sink)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], stream.schema)
 
 
 def drain_to_table(stream: DataFrame, table: str, checkpoint: str) -> None:

@@ -32,6 +32,14 @@ def test_two_drains_and_a_late_file(spark, place):
     assert bronze.filter("_ingested_at IS NULL").isEmpty()
 
 
+def test_an_empty_folder_gives_an_empty_table(spark, place):
+    source, sink, checkpoint = place("source"), place("sink"), place("checkpoint")
+    spark.createDataFrame([], SCHEMA).write.json(f"{source}/_nothing")
+    assert drain(spark, source, SCHEMA, sink, checkpoint).count() == 0
+    _land(spark, source, (1, 1.0))
+    assert drain(spark, source, SCHEMA, sink, checkpoint).count() == 1
+
+
 def test_drain_into_a_catalog_table(spark, place):
     source = place("source")
     _land(spark, source, (1, 1.0))
