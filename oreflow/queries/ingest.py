@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oreflow.functions.buckets import bucket
-from oreflow.functions.text import file_name
 from oreflow.operators.cdc import scd1, scd2
 from oreflow.operators.splits import recency_split
 from oreflow.plans.fraud import SILVER_COLUMNS, TX_RULES, gold_daily_risk, refine_transactions
@@ -149,7 +149,7 @@ def _rescue_lines(t: Layers) -> DataFrame:
 
 
 def _rescued(t: Layers):
-    schema = schemas.T.StructType.fromDDL("event_id bigint, user_id bigint, level bigint")
+    schema = T.StructType.fromDDL("event_id bigint, user_id bigint, level bigint")
     return parse_with_rescue(_rescue_lines(t), schema)
 
 
@@ -262,7 +262,7 @@ def _archive(t: Layers):
 def _rescued_ingest(t: Layers):
     source, sink, checkpoint = _places(t, "rescue")
     _rescue_lines(t).write.text(source)
-    schema = schemas.T.StructType.fromDDL("event_id bigint, user_id bigint, level bigint")
+    schema = T.StructType.fromDDL("event_id bigint, user_id bigint, level bigint")
     drain_to(rescued_stream(t.spark, source, schema), sink, checkpoint)
     return t.spark.read.parquet(sink).agg(
         F.count("*").alias("rows"), F.count(RESCUED).alias("rescued"), F.count("level").alias("levels")

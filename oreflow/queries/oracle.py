@@ -195,8 +195,5 @@ def sql(text: str, *names: str, **extra: str) -> str:
     return ("with " + ",\n".join(parts) + "\n" if parts else "") + text
 
 
-D = "::double"
-
-
 def money(*columns: str) -> str:
     return ", ".join(f"{c}::double as {c}" for c in columns)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ADD_NEW, ADD_NEW_WIDEN, RESCUE, FAIL_ON_NEW, IGNORE = (
@@ -38,8 +41,6 @@ def save_schema(spark: SparkSession, schema: T.StructType, location: str) -> Non
 
 
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
-    import json
-
     try:
         lines = spark.read.text(location).collect()
     except AnalysisException as error:
@@ -117,8 +118,6 @@ def evolve(
 
 def widen_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast the columns of a frame to the merged schema; missing ones become NULL."""
-    from pyspark.sql import functions as F
-
     have = set(df.columns)
     return df.select(
         *[
