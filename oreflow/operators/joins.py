@@ -11,8 +11,12 @@ BROADCAST_ROWS = 200_000
 
 
 def small_enough(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when the frame has at most ``max_rows`` rows; reads no more rows than it must."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+    """True when the frame has at most ``max_rows`` rows.
+
+    A plain count: on files it reads only their footers, one partial count per task. (A limit
+    before the count would send up to ``max_rows`` rows of every partition to one task.)
+    """
+    return df.select(F.lit(1)).count() <= max_rows
 
 
 def join_small(
