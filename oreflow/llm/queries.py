@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import chats, mixing, quality, urls
+from oreflow.llm import chats, mixing, quality, simhash, urls, vectors
 from oreflow.llm.common import table
 
 URL_RULES = (
@@ -55,4 +55,21 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
-QUERIES = {"op1_quality": op1_quality, "op3_urls": op3_urls, "op6_chats": op6_chats, "op7_mix": op7_mix}
+def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.group_near_copies(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+QUERIES = {
+    "op1_quality": op1_quality,
+    "op3_urls": op3_urls,
+    "op5_vectors": op5_vectors,
+    "op6_chats": op6_chats,
+    "op7_mix": op7_mix,
+    "op8_simhash": op8_simhash,
+}

@@ -83,4 +83,26 @@ SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_cha
 FROM c
 """
 
-SQL = {"op1_quality": OP1, "op3_urls": OP3, "op6_chats": OP6}
+OP5 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE CASE WHEN len(a.x) = len(b.x) THEN list_cosine_similarity(a.x, b.x) END >= 0.95
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), found AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), counts AS (
+  SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM found LEFT JOIN counts USING (vec_id)
+"""
+
+SQL = {"op1_quality": OP1, "op3_urls": OP3, "op5_vectors": OP5, "op6_chats": OP6}
