@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import chats, mixing, quality, simhash, urls, vectors
+from oreflow.llm import chats, licenses, mixing, pii, quality, simhash, urls, vectors
 from oreflow.llm.common import table
 
 URL_RULES = (
@@ -65,6 +65,20 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["base"])
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size("base") - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", base.alias("base"), "pii").select(
+        "doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("pii")).alias("spans")
+    )
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op3_urls": op3_urls,
@@ -72,4 +86,6 @@ QUERIES = {
     "op6_chats": op6_chats,
     "op7_mix": op7_mix,
     "op8_simhash": op8_simhash,
+    "op9_licenses": op9_licenses,
+    "op10_pii": op10_pii,
 }

@@ -1,5 +1,6 @@
 """DuckDB texts for the queries of this subpackage that SQL can express."""
 
+from oreflow.llm.licenses import DRIFT, MIN_COVERAGE, TEMPLATES
 from oreflow.llm.quality import RULES, STOP_WORDS
 
 _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -105,4 +106,49 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = compone
 FROM found LEFT JOIN counts USING (vec_id)
 """
 
-SQL = {"op1_quality": OP1, "op3_urls": OP3, "op5_vectors": OP5, "op6_chats": OP6}
+_TEMPLATES = ", ".join(f"({i}, '{label}', '{text}', {base})" for i, (label, text, base) in enumerate(TEMPLATES))
+
+OP9 = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, i - 1 AS pos, ws[i] AS word, ws[i + 1] AS nxt
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws))) AS i FROM d)
+), t AS (
+  SELECT template, label, base, len(ws) - 1 AS grams, i - 1 AS at, ws[i] AS word, ws[i + 1] AS nxt
+  FROM (SELECT template, label, base, string_split(words, ' ') AS ws,
+               unnest(range(1, len(string_split(words, ' ')))) AS i
+        FROM (VALUES {_TEMPLATES}) AS v(template, label, words, base))
+), v AS (
+  SELECT doc_id, template, label, base, grams, pos - at AS diagonal,
+         bit_or(1::BIGINT << at) AS covered, min(pos) AS low, max(pos) + 2 AS high
+  FROM g JOIN t USING (word, nxt) GROUP BY ALL
+), s AS (
+  SELECT *, sum(gap) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span,
+         (base AND bit_count(covered) = grams) AS complete
+  FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) > {DRIFT}
+                       THEN 1 ELSE 0 END AS gap FROM v)
+), m AS (
+  SELECT doc_id, template, label, base, grams, bit_count(bit_or(covered)) / grams AS coverage,
+         max(high) - min(low) <= 2 * (grams + 1) AS tight, count(*) FILTER (complete) AS places,
+         min(diagonal) FILTER (complete) AS first_place, max(diagonal) FILTER (complete) AS last_place
+  FROM s GROUP BY doc_id, template, label, base, grams, span
+), f AS (
+  SELECT doc_id, sum(places) AS n_base, min(first_place) AS first_word, max(last_place) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (places > 0) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label)
+           FILTER (places > 0 OR (NOT base AND tight AND coverage >= {MIN_COVERAGE})) AS labels,
+         max(CASE WHEN places > 0 THEN 1.0::DOUBLE WHEN tight THEN coverage END) AS score
+  FROM m GROUP BY doc_id
+), n AS (
+  SELECT doc_id, max(len(ws)) AS n_words FROM d GROUP BY doc_id
+)
+SELECT doc_id, n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM n LEFT JOIN f USING (doc_id)
+"""
+
+SQL = {"op1_quality": OP1, "op3_urls": OP3, "op5_vectors": OP5, "op6_chats": OP6, "op9_licenses": OP9}
