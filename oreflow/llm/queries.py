@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import chats, licenses, mixing, pii, quality, simhash, urls, vectors
+from oreflow.llm import bpe, chats, licenses, mixing, pii, quality, simhash, urls, vectors
 from oreflow.llm.common import table
 
 URL_RULES = (
@@ -15,6 +16,7 @@ URL_RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 SPLIT_CONVERSATION = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -55,6 +57,11 @@ def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.token_digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+
+
 def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -82,6 +89,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op3_urls": op3_urls,
+    "op4_bpe": op4_bpe,
     "op5_vectors": op5_vectors,
     "op6_chats": op6_chats,
     "op7_mix": op7_mix,

@@ -118,13 +118,13 @@ WITH d AS (
   SELECT DISTINCT doc_id, i - 1 AS pos, ws[i] AS word, ws[i + 1] AS nxt
   FROM (SELECT doc_id, ws, unnest(range(1, len(ws))) AS i FROM d)
 ), t AS (
-  SELECT template, label, base, len(ws) - 1 AS grams, i - 1 AS at, ws[i] AS word, ws[i + 1] AS nxt
+  SELECT template, label, base, len(ws) - 1 AS grams, i - 1 AS tpos, ws[i] AS word, ws[i + 1] AS nxt
   FROM (SELECT template, label, base, string_split(words, ' ') AS ws,
                unnest(range(1, len(string_split(words, ' ')))) AS i
         FROM (VALUES {_TEMPLATES}) AS v(template, label, words, base))
 ), v AS (
-  SELECT doc_id, template, label, base, grams, pos - at AS diagonal,
-         bit_or(1::BIGINT << at) AS covered, min(pos) AS low, max(pos) + 2 AS high
+  SELECT doc_id, template, label, base, grams, pos - tpos AS diagonal,
+         bit_or(1::BIGINT << tpos) AS covered, min(pos) AS low, max(pos) + 2 AS high
   FROM g JOIN t USING (word, nxt) GROUP BY ALL
 ), s AS (
   SELECT *, sum(gap) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span,
