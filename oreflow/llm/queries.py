@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import bpe, chats, licenses, mixing, pii, quality, simhash, urls, vectors
+from oreflow.llm import bpe, chats, licenses, mixing, passages, pii, quality, simhash, urls, vectors
 from oreflow.llm.common import table
 
 URL_RULES = (
@@ -26,6 +26,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -88,6 +94,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_passages": op2_passages,
     "op3_urls": op3_urls,
     "op4_bpe": op4_bpe,
     "op5_vectors": op5_vectors,

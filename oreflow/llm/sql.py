@@ -42,6 +42,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM c
 """
 
+OP2 = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents
+), g AS (
+  SELECT r, doc_id, i, array_to_string(ws[i:i + 12], ' ') AS w
+  FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM t)
+), m AS (
+  SELECT r, i FROM g QUALIFY min(doc_id) OVER (PARTITION BY w) < doc_id
+), x AS (
+  SELECT r, list(DISTINCT j) AS gone FROM (SELECT r, unnest(range(i, i + 13)) AS j FROM m) GROUP BY r
+), k AS (
+  SELECT r, string_agg(w, ' ' ORDER BY j) AS kept
+  FROM (SELECT r, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS j FROM t)
+  WHERE (r, j) NOT IN (SELECT (r, j) FROM (SELECT r, unnest(gone) AS j FROM x)) GROUP BY r
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(len(gone), 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN x USING (r) LEFT JOIN k USING (r)
+"""
+
 OP3 = """
 WITH u AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -151,4 +172,4 @@ SELECT doc_id, n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_
 FROM n LEFT JOIN f USING (doc_id)
 """
 
-SQL = {"op1_quality": OP1, "op3_urls": OP3, "op5_vectors": OP5, "op6_chats": OP6, "op9_licenses": OP9}
+SQL = {"op1_quality": OP1, "op2_passages": OP2, "op3_urls": OP3, "op5_vectors": OP5, "op6_chats": OP6, "op9_licenses": OP9}
