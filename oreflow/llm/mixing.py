@@ -121,8 +121,7 @@ def _round_items(items: DataFrame, fan_in: int, label: str) -> DataFrame:
         still = folded.select("source", "spot", "n", "left.*")
         if width <= 1:
             break
-    draw = F.pmod(F.xxhash64(F.lit("last"), "doc_id", "size"), F.lit(2**53)) / F.lit(float(2**53))
-    last = F.col("whole") + (draw * F.col("size") < F.col("mass")).cast("bigint")
+    last = F.col("whole") + (2 * F.col("mass") >= F.col("size")).cast("bigint")
     results.append(still.select(*KEY, "rows", last.alias("copies")))
     return reduce(DataFrame.unionByName, results)
 
@@ -133,17 +132,19 @@ def _with_source(df: DataFrame, per_source: DataFrame) -> DataFrame:
     return df.join(right, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
 
-def mix(sized: DataFrame, targets: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
+def mix(
+    sized: DataFrame, targets: DataFrame, fan_in: int = FAN_IN, max_repeats: int = MAX_REPEATS
+) -> DataFrame:
     """How often the mix takes each document: ``source, doc_id, size, rows, copies``.
 
     ``sized`` has ``source, doc_id, size``; rows equal in all three are one item of ``rows`` rows,
     which share its copies. An item expects ``rows * target / source_size`` copies; the whole part
     is certain, the rest is rounded. Items of a source are dealt to buckets of about ``fan_in`` by a
     hash, so a hot source is many buckets; each bucket leaves at most one open item, and the open
-    items of ``fan_in`` buckets meet on the next level, until one per source is left, which a last
-    draw rounds.
+    items of ``fan_in`` buckets meet on the next level, until one per source is left. It has no
+    partner and is rounded to the nearer side.
 
-    What that draw adds or takes is at most one document. To make it a short one, the documents
+    What that adds or takes is at most half a document. To make it a short one, the documents
     above their source's mean size are rounded first, and the others expect what is then left of
     the target. Every draw is a hash of the documents that meet, so reruns agree. A document
     without words is never taken. An empty table gives an empty result.
@@ -160,13 +161,12 @@ def mix(sized: DataFrame, targets: DataFrame, fan_in: int = FAN_IN) -> DataFrame
     taken = first.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("_taken"))
     small = whole.filter(~large)
     open_words = small.groupBy("source").agg(
-        F.sum(words).alias("_open"), F.first("target").alias("_target"), F.first("source_size").alias("_whole")
+        F.sum(words).alias("_open"), F.first("target").alias("_target")
     )
     right = taken.withColumnRenamed("source", "_source")
     rest = open_words.join(right, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
     left_over = F.try_divide(F.col("_target") - F.coalesce("_taken", F.lit(0)), "_open")
-    most = F.ceil(F.try_divide("_target", "_whole"))
-    rest = rest.select("source", F.greatest(F.lit(0.0), F.least(left_over, most)).alias("_ratio"))
+    rest = rest.select("source", F.greatest(F.lit(0.0), F.least(left_over, F.lit(max_repeats))).alias("_ratio"))
     second = _with_source(small, materialise(rest, "mix-rest"))
     second = second.withColumn("expected", F.when(F.col("size") > 0, F.col("rows") * F.col("_ratio")).otherwise(0.0))
     return first.unionByName(_round_items(second, fan_in, "small"))
