@@ -10,8 +10,10 @@ CARD_MASK_PREFIX = "****-****-****-"
 
 
 def padded_id(prefix: str, number: Column, width: int) -> Column:
-    """``prefix`` plus the zero-padded number. ``lpad`` cuts longer numbers, so widen first."""
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+    """``prefix`` plus the number, zero-padded to ``width``; longer numbers stay whole."""
+    digits = number.cast("string")
+    padded = F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
+    return F.concat(F.lit(prefix), padded)
 
 
 def title_from_code(code: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Joins with a checked broadcast, grids, and join controls."""
+"""Grids and join controls. Plain joins are left to Spark, which picks the strategy by bytes."""
 
 from __future__ import annotations
 
@@ -7,38 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
 
-
-def small_enough(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True when the frame has at most ``max_rows`` rows.
-
-    A plain count: on files it reads only their footers, one partial count per task. (A limit
-    before the count would send up to ``max_rows`` rows of every partition to one task.)
-    """
-    return df.select(F.lit(1)).count() <= max_rows
-
-
-def join_small(
-    fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner", max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Broadcast the dimension only after counting it; a larger one takes the shuffle join."""
-    return fact.join(F.broadcast(dim) if small_enough(dim, max_rows) else dim, on, how)
-
-
-GRID_VALUES = 1_000
-
-
-def grid(df: DataFrame, values: DataFrame, column: str, max_values: int = GRID_VALUES) -> DataFrame:
-    """Every row once per distinct value of a short list (countries, not customers).
+def grid(df: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """Every row once per distinct value of a list (countries, say), by design.
 
     The list travels as one array value, so each row expands where it is and nothing shuffles.
-    A list longer than ``max_values`` stops the job: it would not be a short list.
     """
-    short = values.select(column).distinct().limit(max_values + 1)
-    listed = F.sort_array(F.collect_set(column))
-    checked = F.when(F.count("*") > max_values, F.raise_error(F.lit(f"more than {max_values} values of {column}")))
-    return df.withColumn(column, F.explode(short.agg(F.coalesce(checked.cast("array<string>"), listed)).scalar()))
+    listed = values.select(column).distinct().agg(F.sort_array(F.collect_set(column))).scalar()
+    return df.withColumn(column, F.explode(listed))
 
 
 def future_days(last: Column, days: int) -> Column:

@@ -9,10 +9,12 @@ AUC_LAYER_BITS, AUC_LAYERS = 21, 3
 
 
 def auc(df: DataFrame, score: str, label: Column) -> DataFrame:
-    """Exact area under the ROC curve of a non-negative bigint score, ties counted half.
+    """Exact area under the ROC curve of a bigint score of any sign, ties counted half.
 
     The rows are counted per score. The pairs that a positive wins are then added up in layers of
-    the score's bits, so every window is bounded and nothing is joined or sorted as a whole.
+    the score's bits, so every window is bounded and nothing is joined or sorted as a whole. The
+    last layer brings the negative scores and the others together. Rows without a score take no
+    part and are counted as ``unscored``.
     """
     wide = "decimal(38,0)"
     layer = (
@@ -21,8 +23,10 @@ def auc(df: DataFrame, score: str, label: Column) -> DataFrame:
         .agg(F.count_if(label).cast(wide).alias("pos"), F.count_if(~label).cast(wide).alias("neg"))
         .withColumn("twice", (F.col("pos") * F.col("neg")).cast(wide))
     )
-    for _ in range(AUC_LAYERS):
-        layer = layer.withColumn("parent", F.shiftright("k", AUC_LAYER_BITS))
+    unscored = df.agg(F.count_if(F.col(score).isNull())).scalar()
+    for i in range(AUC_LAYERS + 1):
+        parent = F.shiftright("k", AUC_LAYER_BITS) if i < AUC_LAYERS else F.lit(0)
+        layer = layer.withColumn("parent", parent)
         smaller = Window.partitionBy("parent").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
         below = F.coalesce(F.sum("neg").over(smaller), F.lit(0)).cast(wide)
         layer = (
@@ -40,6 +44,7 @@ def auc(df: DataFrame, score: str, label: Column) -> DataFrame:
         "positives",
         "negatives",
         F.round(F.try_divide(F.col("_twice").cast("double"), pairs), 6).alias("auc"),
+        unscored.cast("bigint").alias("unscored"),
     )
 
 

@@ -154,6 +154,15 @@ QUERIES = {
     "quantile_label": query(lambda t: t.labelled_transactions().filter("is_fraud").select("tx_id", "risk", "is_fraud")),
     "signal_lift": query(_lift),
     "auc_exact": query(lambda t: auc(t.labelled_transactions().withColumn("_c", cents(F.col("value"))), "_c", F.col("is_fraud"))),
+    "auc_signed": query(
+        lambda t: auc(
+            t.labelled_transactions().withColumn(
+                "_s", F.when(cents(F.col("value")) % 7 > 0, cents(F.col("value")) - cents(F.lit(150).cast("decimal(18,2)")))
+            ),
+            "_s",
+            F.col("is_fraud"),
+        )
+    ),
     "auc_progression": query(_progression),
     "top_share_transactions": query(
         lambda t: extreme_share(
@@ -192,7 +201,7 @@ _RATE = "round(count_if(is_fraud) * 100.0::double / count(*)::double, 4)"
 def _auc_sql(score: str, source: str) -> str:
     return f"""select count_if(is_fraud)::bigint as positives, count_if(not is_fraud)::bigint as negatives,
         round((sum(case when is_fraud then avg_rank end) - count_if(is_fraud)::double * (count_if(is_fraud) + 1) / 2)
-            / (count_if(is_fraud)::double * count_if(not is_fraud)), 6) as auc
+            / (count_if(is_fraud)::double * count_if(not is_fraud)), 6) as auc, 0::bigint as unscored
         from (select is_fraud, rank() over (order by {score})
             + (count(*) over (partition by {score}) - 1) / 2.0::double as avg_rank from {source})"""
 
@@ -337,6 +346,11 @@ SQL = {
             (select quantile_cont((value * 100)::bigint::double, 0.98) from tx) as top from tx""",
     ),
     "auc_exact": sql(_auc_sql("value", "tx"), "tx"),
+    "auc_signed": sql(
+        f"""select positives, negatives, auc, (select count_if((value * 100)::bigint % 7 = 0)::bigint from tx) as unscored
+        from ({_auc_sql("value - 150", "(select * from tx where (value * 100)::bigint % 7 > 0)")})""",
+        "tx",
+    ),
     "auc_progression": sql(
         " union all ".join(
             f"select '{name}' as features, auc from ({_auc_sql(score, 'scored')})"

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from oreflow.operators.joins import join_small, orphans
+from oreflow.operators.joins import orphans
 from oreflow.operators.splits import recency_split, time_split
 from oreflow.operators.metrics import forecast_errors
 from oreflow.plans import forecast as fc
@@ -156,9 +156,9 @@ QUERIES = {
     ),
     "cross_join_grid": query(lambda t: t.inventory()),
     "broadcast_inner_join": query(
-        lambda t: join_small(
-            t.sales().select("sale_id", "product_id", "amount"), t.products().select("product_id", "category"), "product_id"
-        )
+        lambda t: t.sales()
+        .select("sale_id", "product_id", "amount")
+        .join(t.products().select("product_id", "category"), "product_id")
         .groupBy("category")
         .agg(F.count("*").alias("rows"), F.sum("amount").alias("amount"))
     ),

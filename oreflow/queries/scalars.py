@@ -23,6 +23,7 @@ def _strings(t: Layers):
     return t.part.select(
         F.col("p_partkey").alias("product_id"),
         padded_id("PRD", F.col("p_partkey"), 5).alias("code"),
+        padded_id("P", F.col("p_partkey"), 2).alias("short_code"),
         title_from_code(F.regexp_replace("p_name", " ", "_")).alias("title"),
         F.concat_ws(" ", "p_brand", F.initcap("p_type"), F.col("p_size").cast("string")).alias("label"),
         F.substring("p_name", -4, 4).alias("tail"),
@@ -121,8 +122,8 @@ _DRAWN = [label for label, times in DRAW for _ in range(times)]
 SQL = {
     "string_ops": sql(
         """select p_partkey as product_id,
-        concat('PRD', case when length(p_partkey::varchar) > 5 then left(p_partkey::varchar, 5)
-            else lpad(p_partkey::varchar, 5, '0') end) as code,
+        concat('PRD', case when p_partkey < 100000 then lpad(p_partkey::varchar, 5, '0') else p_partkey::varchar end) as code,
+        concat('P', case when p_partkey < 100 then lpad(p_partkey::varchar, 2, '0') else p_partkey::varchar end) as short_code,
         array_to_string(list_transform(string_split(p_name, ' '),
             lambda w: upper(w[1:1]) || lower(w[2:])), ' ') as title,
         concat_ws(' ', p_brand, upper(p_type[1:1]) || lower(p_type[2:]), p_size::varchar) as label,

@@ -47,12 +47,12 @@ def test_auc_matches_brute_force_with_ties(spark, monkeypatch, bits):
     monkeypatch.setattr(metrics, "AUC_LAYER_BITS", bits)
     monkeypatch.setattr(metrics, "AUC_LAYERS", 6 if bits == 2 else 3)
     draw = random.Random(1)
-    data = [(draw.randint(0, 40), draw.random() < 0.3) for _ in range(300)] + [(20, False)] * 150
+    data = [(draw.randint(-20, 40), draw.random() < 0.3) for _ in range(300)] + [(20, False)] * 150
     pos = [s for s, y in data if y]
     neg = [s for s, y in data if not y]
     want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
-    got = metrics.auc(spark.createDataFrame(data, "s bigint, y boolean"), "s", F.col("y")).first()
-    assert (got["positives"], got["negatives"]) == (len(pos), len(neg))
+    got = metrics.auc(spark.createDataFrame([*data, (None, True)], "s bigint, y boolean"), "s", F.col("y")).first()
+    assert (got["positives"], got["negatives"], got["unscored"]) == (len(pos), len(neg), 1)
     assert got["auc"] == pytest.approx(want, abs=1e-6)
 
 

@@ -107,8 +107,9 @@ def test_rates_weighted_and_unweighted_differ(spark):
 def test_functions(spark):
     one = spark.range(1)
     assert one.select(parse_timestamp(F.lit("abc"))).first()[0] is None
-    assert one.select(padded_id("P", F.lit(7), 5), keep_last_four(F.lit("4539-1111-2222-3333"))).first()[:] == (
+    assert one.select(padded_id("P", F.lit(7), 5), padded_id("P", F.lit(123456), 5), keep_last_four(F.lit("4539-1111-2222-3333"))).first()[:] == (
         "P00007",
+        "P123456",
         "****-****-****-3333",
     )
     monday = calendar_columns(F.lit(date(2024, 1, 1)), F.lit(date(2023, 12, 31)))

@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from oreflow.queries import all_queries as queries
+from oreflow.queries import all_sql as oracle_sql
 from tests.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
