@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 from oreflow.functions.calendar import day_of
 from oreflow.operators.quality import gate
 from oreflow.plans import fraud, sales, validation
-from oreflow.sources.files import overwrite_table, scan_csv
-from oreflow.streaming.ingest import drain
+from oreflow.sources.files import overwrite_table
+from oreflow.streaming.ingest import drain, file_stream
 from oreflow.streaming.silver import run_silver
 
 
@@ -38,6 +38,12 @@ def _gold(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _dimension(spark: SparkSession, at: Places, name: str, raw: str, schemas: dict[str, T.StructType]) -> DataFrame:
+    """New CSV files of a dimension into its bronze table; the job uses the schema's columns."""
+    bronze = drain(spark, raw, schemas[name], at.table(f"bronze_{name}"), at.checkpoint(f"bronze_{name}"), "csv")
+    return bronze.select(*schemas[name].fieldNames())
+
+
 def run_sales_job(
     spark: SparkSession,
     raw_sales: str,
@@ -48,12 +54,11 @@ def run_sales_job(
 ) -> DataFrame:
     """Ingest new sale files, refresh silver and gold, and return the passed checks."""
     at = Places(out)
-    products = scan_csv(spark, raw_products, schemas["products"])
-    inventory = scan_csv(spark, raw_inventory, schemas["inventory"])
-    drain(spark, raw_sales, schemas["sales"], at.table("bronze_sales"), at.checkpoint("bronze_sales"))
-    bronze = spark.read.parquet(at.table("bronze_sales"))
+    products = _dimension(spark, at, "products", raw_products, schemas)
+    inventory = _dimension(spark, at, "inventory", raw_inventory, schemas)
+    bronze = drain(spark, raw_sales, schemas["sales"], at.table("bronze_sales"), at.checkpoint("bronze_sales"))
     run_silver(
-        spark.readStream.schema(bronze.schema).parquet(at.table("bronze_sales")),
+        file_stream(spark, at.table("bronze_sales"), bronze.schema, "parquet", recursive=False),
         lambda lines: sales.refine_sales(lines, products),
         sales.SALES_RULES,
         ["sale_id"],
@@ -76,11 +81,10 @@ def run_fraud_job(
 ) -> DataFrame:
     """The same for card transactions; also leaves the category means that scoring needs."""
     at = Places(out)
-    customers = scan_csv(spark, raw_customers, schemas["customers"])
-    drain(spark, raw_transactions, schemas["transactions"], at.table("bronze_tx"), at.checkpoint("bronze_tx"))
-    bronze = spark.read.parquet(at.table("bronze_tx"))
+    customers = _dimension(spark, at, "customers", raw_customers, schemas)
+    bronze = drain(spark, raw_transactions, schemas["transactions"], at.table("bronze_tx"), at.checkpoint("bronze_tx"))
     run_silver(
-        spark.readStream.schema(bronze.schema).parquet(at.table("bronze_tx")),
+        file_stream(spark, at.table("bronze_tx"), bronze.schema, "parquet", recursive=False),
         lambda tx: fraud.refine_transactions(tx, customers),
         fraud.TX_RULES,
         ["tx_id"],

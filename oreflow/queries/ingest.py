@@ -17,10 +17,10 @@ from oreflow.session import materialise, scratch_dir
 from oreflow.sources import files, schemas
 from oreflow.sources.files import SOURCE_FILE
 from oreflow.sources.rescue import RESCUED, parse_with_rescue
-from oreflow.streaming.ingest import drain, drain_to, rescued_stream
+from oreflow.streaming.ingest import drain, file_stream
 from oreflow.streaming.silver import run_silver
 
-FILES = 12
+FILES, LATE_FILES = 12, 3
 ORDER_SCHEMA = "o_orderkey bigint, o_orderstatus string, o_totalprice decimal(18,2), day date"
 
 
@@ -60,7 +60,7 @@ def _json_roundtrip(t: Layers):
 def _csv_roundtrip(t: Layers):
     path = scratch_dir(t.spark, "csv")
     raw = t.customers()
-    files.write_single(raw, path, "csv")
+    raw.write.option("header", True).csv(path)
     return files.scan_csv(t.spark, path, raw.schema)
 
 
@@ -106,7 +106,7 @@ def _provenance(t: Layers):
     path = scratch_dir(t.spark, "provenance")
     initial, late = _halves(_order_rows(t), "o_orderkey")
     files.write_fanout(initial, f"{path}/initial", 3)
-    files.write_single(late, f"{path}/late", "json")
+    late.write.json(f"{path}/late")
     bronze = files.with_provenance(files.scan_json(t.spark, path, ORDER_SCHEMA, recursive=True))
     return bronze.groupBy(_folder()).agg(
         F.count("*").alias("rows"), F.count(files.INGESTED_AT).alias("stamped"), F.sum("o_totalprice").alias("amount")
@@ -204,12 +204,12 @@ SALE_SCHEMA = "sale_id string, day date, quantity bigint, amount decimal(18,2)"
 
 
 def _incremental(t: Layers) -> DataFrame:
-    """Twelve files, a drain, one late file, a second drain."""
+    """Twelve files, a drain, three late files, a second drain."""
     source, sink, checkpoint = _places(t, "sales")
     initial, late = _sales_split(t)
     files.write_fanout(initial, f"{source}/initial", FILES)
     drain(t.spark, source, SALE_SCHEMA, sink, checkpoint)
-    files.write_single(late, f"{source}/late", "json")
+    files.write_fanout(late, f"{source}/late", LATE_FILES)
     return drain(t.spark, source, SALE_SCHEMA, sink, checkpoint)
 
 
@@ -225,7 +225,7 @@ def _incremental_csv(t: Layers):
     source, sink, checkpoint = _places(t, "products")
     products = t.products()
     files.write_fanout(products, source, 2, "csv")
-    return drain(t.spark, source, products.schema, sink, checkpoint, "csv").drop(files.INGESTED_AT, SOURCE_FILE)
+    return drain(t.spark, source, products.schema, sink, checkpoint, "csv").drop(files.INGESTED_AT, SOURCE_FILE, RESCUED)
 
 
 def _idempotent(t: Layers):
@@ -233,7 +233,7 @@ def _idempotent(t: Layers):
     initial, late = _halves(_order_rows(t), "o_orderkey")
     files.write_fanout(initial, f"{source}/initial", 4)
     counts = [drain(t.spark, source, ORDER_SCHEMA, sink, checkpoint).count() for _ in range(2)]
-    files.write_single(late, f"{source}/late", "json")
+    late.write.json(f"{source}/late")
     counts.append(drain(t.spark, source, ORDER_SCHEMA, sink, checkpoint).count())
     return t.spark.createDataFrame(list(enumerate(counts, 1)), "run bigint, rows bigint")
 
@@ -263,12 +263,42 @@ def _rescued_ingest(t: Layers):
     source, sink, checkpoint = _places(t, "rescue")
     _rescue_lines(t).write.text(source)
     schema = T.StructType.fromDDL("event_id bigint, user_id bigint, level bigint")
-    drain_to(rescued_stream(t.spark, source, schema), sink, checkpoint)
-    return t.spark.read.parquet(sink).agg(
+    return drain(t.spark, source, schema, sink, checkpoint).agg(
         F.count("*").alias("rows"), F.count(RESCUED).alias("rescued"), F.count("level").alias("levels")
     )
 
 
+def _rescued_csv(t: Layers):
+    """Columns in another order than the schema's, one unknown column, and misfit values."""
+    source, sink, checkpoint = _places(t, "rescue-csv")
+    size = F.when(F.col("p_size") % 10 == 0, "large").otherwise(F.col("p_size").cast("string"))
+    rows = t.part.select("p_brand", size.alias("p_size"), "p_partkey", F.col("p_type").alias("surprise"))
+    rows.write.option("header", True).csv(source)
+    bronze = drain(t.spark, source, "p_partkey bigint, p_size int, p_brand string", sink, checkpoint, "csv")
+    return bronze.select(
+        "p_partkey",
+        "p_size",
+        "p_brand",
+        F.get_json_object(RESCUED, "$.surprise").alias("surprise"),
+        F.get_json_object(RESCUED, "$.p_size").alias("misfit"),
+    )
+
+
+def _evolution_rescue(t: Layers):
+    """Under the policy ``rescue`` the schema stays, and what is new is kept as text."""
+    source, sink, checkpoint = _places(t, "evolve-rescue")
+    saved = scratch_dir(t.spark, "schema")
+    first, second = _halves(_order_rows(t).select("o_orderkey", "o_orderstatus"), "o_orderkey")
+    first.drop("o_orderstatus").write.json(f"{source}/initial")
+    schema = schemas.evolve(t.spark, source, "json", saved, schemas.RESCUE)
+    drain(t.spark, source, schema, sink, checkpoint)
+    second.write.json(f"{source}/late")
+    schema = schemas.evolve(t.spark, source, "json", saved, schemas.RESCUE)
+    bronze = drain(t.spark, source, schema, sink, checkpoint)
+    status = F.get_json_object(RESCUED, "$.o_orderstatus").alias("o_orderstatus")
+    return bronze.groupBy(status).agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys"))
+
+
 # -- streaming silver ----------------------------------------------------------------------------
 
 
@@ -279,9 +309,9 @@ def _stream_silver(t: Layers) -> str:
     raw = materialise(t.labelled_transactions(), "labelled")
     customers = t.customers()
     schema = raw.schema
-    raw.write.mode("append").parquet(bronze)
     for _ in range(2):
-        stream = t.spark.readStream.schema(schema).parquet(bronze)
+        raw.write.mode("append").parquet(bronze)
+        stream = file_stream(t.spark, bronze, schema, "parquet", recursive=False)
         run_silver(
             stream,
             lambda s: refine_transactions(s, customers),
@@ -292,7 +322,6 @@ def _stream_silver(t: Layers) -> str:
             checkpoint,
             "silver_transactions",
         )
-        raw.write.mode("append").parquet(bronze)
     return silver
 
 
@@ -335,6 +364,8 @@ QUERIES = {
     "schema_memory": query(_schema_memory),
     "rescued_data": query(_rescued),
     "rescued_ingest": query(_rescued_ingest),
+    "ingest_rescued_csv": query(_rescued_csv),
+    "schema_evolution_rescue": query(_evolution_rescue),
     "schema_evolution": query(_evolution),
     "type_widening": query(_widening),
     "ingest_incremental": query(_incremental_totals),
@@ -394,6 +425,14 @@ SQL = {
         from lines_z""",
         lines_z=_LINES,
     ),
+    "ingest_rescued_csv": sql(
+        """select p_partkey, case when p_size % 10 <> 0 then p_size end as p_size, p_brand, p_type as surprise,
+        case when p_size % 10 = 0 then 'large' end as misfit from part"""
+    ),
+    "schema_evolution_rescue": sql(
+        f"""select case {_HALF} when 1 then o_orderstatus end as o_orderstatus, count(*) as rows,
+        sum(o_orderkey)::bigint as keys from orders group by 1"""
+    ),
     "schema_evolution": sql(
         f"""select case {_HALF} when 1 then o_orderstatus end as o_orderstatus, count(*) as rows from orders group by 1"""
     ),
@@ -408,7 +447,7 @@ SQL = {
         aged=_AGED,
         split=_SPLIT,
     ),
-    "distinct_files": sql(f"select {FILES + 1} as files, count(*) as rows from lineitem"),
+    "distinct_files": sql(f"select {FILES + LATE_FILES} as files, count(*) as rows from lineitem"),
     "ingest_incremental_csv": sql(
         """select product_id, product_name, category, brand, list_price::double as list_price,
         unit_cost::double as unit_cost from products""",

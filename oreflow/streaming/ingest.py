@@ -6,8 +6,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from oreflow.sources.files import SOURCE_FILE, with_provenance
-from oreflow.sources.rescue import parse_with_rescue
+from oreflow.sources.files import INGESTED_AT, SOURCE_FILE, as_struct, csv_header, with_provenance
+from oreflow.sources.rescue import parse_with_rescue, type_with_rescue
+
+
+MAX_FILES = 1_000  # per micro-batch, so that a first drain isn't one batch of the whole folder
 
 
 def file_stream(
@@ -17,27 +20,34 @@ def file_stream(
     fmt: str = "json",
     recursive: bool = True,
     archive_to: str | None = None,
-    max_files: int | None = None,
+    max_files: int = MAX_FILES,
 ) -> DataFrame:
     """A stream over a folder. Hidden names are skipped; sub-folders count when ``recursive``.
 
-    ``archive_to`` moves files away once their batch is committed.
+    ``archive_to`` moves files away once their batch is committed. CSV headers are compared with
+    the schema's names, and a file that differs stops the stream.
     """
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", recursive)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)
     if archive_to is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_to)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(source)
+    return reader.option("maxFilesPerTrigger", max_files).load(source)
 
 
-def rescued_stream(spark: SparkSession, source: str, schema: T.StructType, recursive: bool = True) -> DataFrame:
-    """A JSON-lines stream that keeps unknown and misfit fields, with the source file."""
-    lines = file_stream(spark, source, "value string", "text", recursive)
-    lines = lines.selectExpr("value", f"_metadata.file_path AS {SOURCE_FILE}")
-    return parse_with_rescue(lines, schema)
+def rescued_stream(
+    spark: SparkSession, source: str, schema: T.StructType | str, fmt: str = "json", **options
+) -> DataFrame:
+    """A JSON-lines or CSV stream with provenance that keeps unknown, misfit and broken fields."""
+    wanted = as_struct(schema)
+    if fmt == "json":
+        lines = file_stream(spark, source, "value string", "text", **options)
+        return parse_with_rescue(with_provenance(lines), wanted)
+    if fmt != "csv":
+        raise ValueError(f"no rescue for {fmt}: its files carry their own types")
+    texts = csv_header(spark, source, wanted, options.get("recursive", True))
+    rows = with_provenance(file_stream(spark, source, texts, "csv", **options))
+    return type_with_rescue(rows, wanted, [INGESTED_AT, SOURCE_FILE])
 
 
 def drain_to(stream: DataFrame, sink: str, checkpoint: str) -> None:
@@ -57,13 +67,24 @@ def drain_to(stream: DataFrame, sink: str, checkpoint: str) -> None:
 
 
 def drain(
-    spark: SparkSession, source: str, schema: T.StructType | str, sink: str, checkpoint: str, fmt: str = "json", **options
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType | str,
+    sink: str,
+    checkpoint: str,
+    fmt: str = "json",
+    rescue: bool = True,
+    **options,
 ) -> DataFrame:
     """Ingest a folder into bronze with provenance columns, and read the result.
 
-    The result is read under the stream's schema, so an empty folder gives an empty frame.
+    What the schema has no place for is kept in ``_rescued_data``, unless ``rescue`` is off. The
+    result is read under the stream's schema, so an empty folder gives an empty frame.
     """
-    stream = with_provenance(file_stream(spark, source, schema, fmt, **options))
+    if rescue and fmt in ("json", "csv"):
+        stream = rescued_stream(spark, source, schema, fmt, **options)
+    else:
+        stream = with_provenance(file_stream(spark, source, schema, fmt, **options))
     drain_to(stream, sink, checkpoint)
     try:
         return spark.read.schema(stream.schema).parquet(sink)

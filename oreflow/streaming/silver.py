@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from oreflow.operators.quality import Rule, apply_rules, measure_rules
+from oreflow.operators.quality import Rule, apply_rules, observe_rules
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+METRIC_SCHEMA = "dataset string, rule string, action string, passed bigint, failed bigint"
 
 
 def dedupe_stream(stream: DataFrame, keys: Sequence[str], event_time: str | None = None, delay: str | None = None) -> DataFrame:
@@ -30,24 +34,35 @@ def run_silver(
     metrics: str,
     checkpoint: str,
     dataset: str,
+    event_time: str | None = None,
+    delay: str | None = None,
 ) -> None:
     """Drain a bronze stream into silver and write the rule metrics of every micro-batch.
 
-    ``refine`` is the same enrich/type/project function that the batch pipeline uses. Each batch
-    overwrites its own folder ``batch=<id>``, so a replay after a failure adds nothing twice.
+    ``refine`` is the same enrich/type/project function that the batch pipeline uses. The rules are
+    counted while the batch is written, so it is read once. Each batch overwrites its own folder
+    ``batch=<id>``, so a replay after a failure adds nothing twice. The keys seen so far live in
+    RocksDB, on disk and not in the heap; ``event_time`` and ``delay`` bound them.
     """
+    spark = stream.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            apply_rules(batch, rules).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-            measured = measure_rules(batch, rules, dataset).withColumn("logged_at", F.current_timestamp())
-            measured.write.mode("overwrite").parquet(f"{metrics}/batch={batch_id}")
-        finally:
-            batch.unpersist()
+        seen = Observation()
+        kept = apply_rules(observe_rules(batch, rules, seen), rules)
+        kept.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        counts = seen.get
+        lines = [
+            (dataset, r.name, r.action, counts["rows"] - counts[f"failed_{r.name}"], counts[f"failed_{r.name}"])
+            for r in rules
+        ]
+        measured = batch.sparkSession.createDataFrame(lines, METRIC_SCHEMA)
+        logged = measured.withColumn("logged_at", F.current_timestamp())
+        logged.coalesce(1).write.mode("overwrite").parquet(f"{metrics}/batch={batch_id}")
 
+    if spark.conf.get(STATE_STORE, None) is None:
+        spark.conf.set(STATE_STORE, ROCKSDB)
     query = (
-        refine(dedupe_stream(stream, keys))
+        refine(dedupe_stream(stream, keys, event_time, delay))
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -32,6 +32,16 @@ def test_rescue_keeps_unknown_misfit_and_broken_fields(spark):
     assert len(got) == 6
 
 
+def test_csv_columns_are_matched_by_name(spark, place):
+    path, mixed = place("csv"), place("mixed")
+    spark.createDataFrame([(2, 4, "60")], "product_id int, lead int, stock string").write.option("header", True).csv(path)
+    assert rows(files.scan_csv(spark, path, "product_id int, stock int, missing string, lead int")) == [(2, 60, None, 4)]
+    spark.createDataFrame([(1, 2)], "a int, b int").coalesce(1).write.option("header", True).csv(f"{mixed}/one")
+    spark.createDataFrame([(1, 2)], "b int, a int").coalesce(1).write.option("header", True).csv(f"{mixed}/two")
+    with pytest.raises(Exception, match="header"):
+        files.scan_csv(spark, mixed, "a int, b int", recursive=True).collect()
+
+
 def test_csv_path_in_sql_reads_the_header_as_data(spark, place):
     path = place("csv")
     files.write_single(spark.createDataFrame([(1, "a")], "id int, name string"), path, "csv")

@@ -32,6 +32,21 @@ def test_two_drains_and_a_late_file(spark, place):
     assert bronze.filter("_ingested_at IS NULL").isEmpty()
 
 
+def test_ingest_loses_no_field(spark, place):
+    source, sink, checkpoint = place("source"), place("sink"), place("checkpoint")
+    lines = ['{"id":1,"amount":"n/a"}', '{"id":2,"amount":1.0,"extra":"x"}', '{"id":3,', '{"id":4,"amount":2.0}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(source)
+    got = rows(drain(spark, source, SCHEMA, sink, checkpoint), "id", "amount", "_rescued_data")
+    assert (1, None, '{"amount":"n/a"}') in got and (2, 1.0, '{"extra":"x"}') in got and (4, 2.0, None) in got
+    assert any(r[2] == '{"id":3,' for r in got) and len(got) == 4
+    csv, sink, checkpoint = place("csv"), place("sink"), place("checkpoint")
+    spark.createDataFrame([("x", "7", "1"), ("y", "n/a", "2")], "extra string, amount string, id string").coalesce(1).write.option(
+        "header", True
+    ).csv(csv)
+    got = rows(drain(spark, csv, SCHEMA, sink, checkpoint, "csv"), "id", "amount", "_rescued_data")
+    assert got == [(1, 7.0, '{"extra":"x"}'), (2, None, '{"extra":"y","amount":"n/a"}')]
+
+
 def test_an_empty_folder_gives_an_empty_table(spark, place):
     source, sink, checkpoint = place("source"), place("sink"), place("checkpoint")
     spark.createDataFrame([], SCHEMA).write.json(f"{source}/_nothing")
