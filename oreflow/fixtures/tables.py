@@ -2,36 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.functions.buckets import bucket, key_text
+from oreflow.functions.money import MONEY, cents_to_money, mean_of
 from oreflow.operators.dedupe import dedupe_by_key
 from oreflow.operators.joins import grid
 from oreflow.operators.layout import spread
 from oreflow.operators.ordered import exact_quantile
+from oreflow.plans.fraud import HOME_COUNTRY, risk_score
+from oreflow.plans.sales import SALE_KEY, SALE_ORDER
 from oreflow.session import materialise
 
-MONEY = "decimal(18,2)"
-SCORE_SCALE = 1_000_000
-
-# All line columns: a total order over the copies of a sale.
-SALE_ORDER = [
-    "l_partkey",
-    "l_suppkey",
-    "l_quantity",
-    "l_extendedprice",
-    "l_discount",
-    "l_tax",
-    "l_returnflag",
-    "l_linestatus",
-    "l_shipdate",
-]
-SALE_KEY = ["l_orderkey", "l_linenumber"]
-
-# Weights of the rule-based risk score, and the fraud quantile.
-RISK_FOREIGN, RISK_NIGHT, RISK_ONLINE, RISK_ATM = 2.5, 2.0, 1.2, 0.8
-HOME_COUNTRY = "CO"
+
+# The invalid rows among the sales and transactions (in a thousand), the range of the
+# cost rate (in a hundred), and the weights of the card data.
+NO_UNITS, RETURNED = 12, 8
+NO_AMOUNT, REFUNDED = 13, 7
+COST_FROM, COST_RANGE = 45, 28
+CHANNELS = (("in_person", 50), ("online", 27), ("mobile", 18), ("atm", 5))
+COUNTRIES = (("CO", 960), ("US", 20), ("MX", 12), ("PA", 8))
+REGIONS = (("north", 28), ("center", 49), ("south", 23))
+DEVICE_SHARE, DEVICE_SHARE_REMOTE = 18, 96
+CARD_PREFIX = "4539"
 FRAUD_QUANTILE = 0.985
 
 
@@ -102,14 +98,15 @@ class Tables:
         )
         # Half-up division in whole cents: floating division would round ties by engine.
         unit_cents = F.expr("(2 * _cents + _q) div nullif(2 * _q, 0)")
-        quantity = F.when(F.col("_b") < 12, F.lit(0)).when(F.col("_b") < 20, -F.col("_q")).otherwise(F.col("_q"))
+        quantity = by_share(F.col("_b"), [("none", NO_UNITS), ("back", RETURNED), ("sold", 1000 - NO_UNITS - RETURNED)])
+        quantity = F.col("_q") * F.element_at(F.create_map(*map(F.lit, ("none", 0, "back", -1, "sold", 1))), quantity)
         priced = priced.withColumns(
             {
                 "quantity": quantity.cast("bigint"),
                 "unit_price": cents_to_money(unit_cents),
             }
         )
-        amount = F.when(F.col("_b") < 20, (F.col("quantity") * F.col("unit_price")).cast(MONEY)).otherwise(
+        amount = F.when(F.col("_b") < NO_UNITS + RETURNED, (F.col("quantity") * F.col("unit_price")).cast(MONEY)).otherwise(
             F.col("l_extendedprice").cast(MONEY)
         )
         return priced.select(
@@ -134,7 +131,7 @@ class Tables:
         return self.orders.agg(F.max(F.to_date("o_orderdate"))).scalar()
 
     def products(self) -> DataFrame:
-        rate = (F.lit(45) + bucket(key_text("c", F.col("p_partkey")), 28)).cast("decimal(4,0)")
+        rate = (F.lit(COST_FROM) + bucket(key_text("c", F.col("p_partkey")), COST_RANGE)).cast("decimal(4,0)")
         cost = F.col("p_retailprice").cast("decimal(9,2)") * rate * F.lit("0.01").cast("decimal(3,2)")
         return self.part.select(
             F.col("p_partkey").alias("product_id"),
@@ -179,20 +176,13 @@ class Tables:
         value = F.col("value").cast(MONEY)
         card = F.concat_ws(
             "-",
-            F.lit("4539"),
+            F.lit(CARD_PREFIX),
             *[F.lpad(bucket(key_text(user, part), 10000).cast("string"), 4, "0") for part in "abc"],
         )
         base = spread(self.events, "event_id").withColumns({"_e": place, "_h": way, "_d": device, "_r": home, "_m": m})
-        channel = (
-            F.when(F.col("_h") < 50, "in_person")
-            .when(F.col("_h") < 77, "online")
-            .when(F.col("_h") < 95, "mobile")
-            .otherwise("atm")
-        )
-        country = (
-            F.when(F.col("_e") < 960, "CO").when(F.col("_e") < 980, "US").when(F.col("_e") < 992, "MX").otherwise("PA")
-        )
-        has_device = (F.col("channel").isin("online", "mobile") & (F.col("_d") < 96)) | (F.col("_d") < 18)
+        channel, country = by_share(F.col("_h"), CHANNELS), by_share(F.col("_e"), COUNTRIES)
+        remote = F.col("channel").isin("online", "mobile")
+        has_device = F.col("_d") < F.when(remote, DEVICE_SHARE_REMOTE).otherwise(DEVICE_SHARE)
         return (
             base.withColumns({"channel": channel, "country": country})
             .select(
@@ -203,11 +193,11 @@ class Tables:
                 "country",
                 F.when(F.col("country") == HOME_COUNTRY, "COP").otherwise("USD").alias("currency"),
                 "channel",
-                F.when(F.col("_r") < 28, "north").when(F.col("_r") < 77, "center").otherwise("south").alias("region"),
+                by_share(F.col("_r"), REGIONS).alias("region"),
                 timestamp_text("ts").alias("occurred_at"),
                 F.when(has_device, key_text("D", user)).alias("device_id"),
-                F.when(F.col("_m") < 13, F.lit(0).cast(MONEY))
-                .when(F.col("_m") < 20, (-value).cast(MONEY))
+                F.when(F.col("_m") < NO_AMOUNT, F.lit(0).cast(MONEY))
+                .when(F.col("_m") < NO_AMOUNT + REFUNDED, (-value).cast(MONEY))
                 .otherwise(value)
                 .alias("amount"),
                 value.alias("value"),
@@ -217,7 +207,7 @@ class Tables:
     def scored_transactions(self) -> DataFrame:
         """Transactions with the rule-based risk, in millionths (a bigint)."""
         tx = self.transactions().join(self.value_means(), "merchant_category")
-        return tx.withColumn("risk", rule_risk()).drop("_mean")
+        return tx.withColumn("risk", risk_score(F.col("value"), F.col("_mean"))).drop("_mean")
 
     def value_means(self) -> DataFrame:
         """Mean value per category, written once: its file size lets Spark broadcast it, whereas
@@ -251,7 +241,7 @@ class Tables:
             k.alias("customer_id"),
             F.col("c_mktsegment").alias("segment"),
             (F.lit(1) + bucket(key_text("t", k), 178)).alias("tenure_months"),
-            F.when(home < 28, "north").when(home < 77, "center").otherwise("south").alias("region"),
+            by_share(home, REGIONS).alias("region"),
             (F.lit(18) + bucket(key_text("g", k), 71)).alias("age"),
             (F.lit(300) + bucket(key_text("s", k), 551)).alias("credit_score"),
         )
@@ -262,43 +252,11 @@ def timestamp_text(column: str) -> Column:
     return F.substring(F.col(column).cast("string"), 1, 19)
 
 
-def cents_to_money(cents: Column) -> Column:
-    return (cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(MONEY)
-
-
-def cents(money: Column) -> Column:
-    """Money as whole cents, for exact ranks."""
-    return (money * 100).cast("bigint")
-
-
-def mean_of(amount: Column) -> Column:
-    """The mean of a decimal as a double, from an exact sum: the same on every run."""
-    return F.sum(amount).cast("double") / F.count(amount).cast("double")
-
-
-def risk_points() -> Column:
-    """Points for the signals that do not depend on the amount, in millionths."""
-    hour = F.substring("occurred_at", 12, 2).cast("int")
-    return (
-        F.when(F.col("country") != HOME_COUNTRY, int(RISK_FOREIGN * SCORE_SCALE)).otherwise(0)
-        + F.when(hour.between(2, 5), int(RISK_NIGHT * SCORE_SCALE)).otherwise(0)
-        + F.when(F.col("channel") == "online", int(RISK_ONLINE * SCORE_SCALE))
-        .when(F.col("channel") == "atm", int(RISK_ATM * SCORE_SCALE))
-        .otherwise(0)
-    )
-
-
-def rule_risk() -> Column:
-    """Sum of weighted signals in millionths: amount over category mean, abroad, night, channel."""
-    relative = (F.col("value").cast("double") / F.col("_mean")).cast("decimal(18,6)")
-    return (relative * SCORE_SCALE).cast("bigint") + risk_points()
-
-
-def money_out(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, for reports that leave Spark."""
-    return df.select(
-        *[
-            F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+def by_share(roll: Column, shares: Sequence[tuple[str, int]]) -> Column:
+    """A value by weight: ``roll`` is uniform below the sum of the weights."""
+    *firsts, (last, _) = shares
+    value, edge = F.lit(last), sum(n for _, n in firsts)
+    for name, weight in reversed(firsts):
+        value = F.when(roll < edge, F.lit(name)).otherwise(value)
+        edge -= weight
+    return value

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.datasets import HOME_COUNTRY, mean_of
 from oreflow.functions.calendar import day_of, parse_timestamp
+from oreflow.functions.money import mean_of
 from oreflow.operators.dedupe import dedupe_by_key
 from oreflow.operators.quality import DROP, WARN, Rule, apply_rules
+from oreflow.operators.scoring import weighted_score
 from oreflow.plans.sales import ratio
 
 TX_RULES = (
@@ -39,6 +40,27 @@ CATEGORY_FEATURES = ["merchant_category", "channel", "segment"]
 NUMBER_FEATURES = ["amount", "amount_deviation", "hour", "is_foreign", "tenure_months", "credit_score"]
 SUSPICIOUS_FACTOR = 3
 
+# The home country, and the points of each signal.
+HOME_COUNTRY = "CO"
+RISK_RULES = (
+    (f"country <> '{HOME_COUNTRY}'", 2.5),
+    ("cast(substring(occurred_at, 12, 2) as int) between 2 and 5", 2.0),
+    ("channel = 'online'", 1.2),
+    ("channel = 'atm'", 0.8),
+)
+SCORE_SCALE = 1_000_000
+
+
+def risk_points() -> Column:
+    """Points for the signals that do not depend on the amount, in millionths."""
+    return weighted_score(RISK_RULES, SCORE_SCALE)
+
+
+def risk_score(amount: Column, category_mean: Column) -> Column:
+    """The amount over its category's mean, plus the signals' points; in millionths."""
+    relative = (amount.cast("double") / category_mean).cast("decimal(18,6)")
+    return (relative * SCORE_SCALE).cast("bigint") + risk_points()
+
 
 def refine_transactions(tx: DataFrame, customers: DataFrame) -> DataFrame:
     """Enrich, type and project. The transaction has its own region, so the customer's goes."""

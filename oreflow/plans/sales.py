@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.datasets import MONEY, SALE_KEY, SALE_ORDER
 from oreflow.functions.calendar import day_of, parse_timestamp
+from oreflow.functions.money import MONEY
 from oreflow.operators.dedupe import dedupe_by_key
 from oreflow.operators.quality import DROP, WARN, Rule, apply_rules
 
@@ -35,6 +35,21 @@ SILVER_COLUMNS = [
 ]
 DEMAND_DAYS = 90
 
+# All line columns: a total order over the copies of a sale.
+SALE_ORDER = [
+    "l_partkey",
+    "l_suppkey",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+    "l_shipdate",
+]
+# The two parts of a sale id.
+SALE_KEY = ["l_orderkey", "l_linenumber"]
+
 
 def unique_sales(raw: DataFrame) -> DataFrame:
     """One line per sale; the two id parts stand for ``sale_id``."""
@@ -105,29 +120,30 @@ def recent_demand(silver: DataFrame, as_of: Column, days: int = DEMAND_DAYS) ->
     )
 
 
+def stock_coverage(stock: Column, per_day: Column) -> Column:
+    """Days until the stock is sold, to a tenth; unknown when nothing sells."""
+    return F.round(stock / F.when(per_day > 0, per_day), 1)
+
+
+def restock_flag(stock: Column, least: Column, coverage: Column, lead_days: Column) -> Column:
+    """Whether to order now: certain below the least stock, else whether it lasts until a delivery.
+
+    Unknown (NULL) when the stock is up and its coverage is unknown.
+    """
+    return F.when(stock < least, True).otherwise(coverage < lead_days)
+
+
 def inventory_status(inventory: DataFrame, demand: DataFrame, products: DataFrame) -> DataFrame:
-    """Coverage and the three-valued restock flag: unknown when nothing sells and stock is up."""
-    names = products.select("product_id", "product_name", "category")
-    coverage = F.when(F.col("daily_demand") > 0, F.round(F.col("stock_now") / F.col("daily_demand"), 1))
-    return (
-        inventory.join(demand, ["product_id", "country"], "left")
-        .join(names, "product_id", "left")
-        .withColumn("daily_demand", F.coalesce("daily_demand", F.lit(0.0)))
-        .withColumn("coverage_days", coverage)
-        .withColumn(
-            "needs_restock",
-            (F.col("stock_now") < F.col("stock_min")) | (F.col("coverage_days") < F.col("lead_time_days")),
-        )
-        .select(
-            "product_id",
-            "product_name",
-            "category",
-            "country",
-            "stock_now",
-            "stock_min",
-            "daily_demand",
-            "coverage_days",
-            "lead_time_days",
-            "needs_restock",
-        )
+    """The stock of every product and country with its demand, coverage and restock flag."""
+    named = inventory.join(products.select("product_id", "product_name", "category"), "product_id", "left")
+    per_day = F.coalesce(F.col("daily_demand"), F.lit(0.0))
+    stock, lead = F.col("stock_now"), F.col("lead_time_days")
+    lasts = stock_coverage(stock, per_day)
+    described = ["product_id", "product_name", "category", "country", "stock_now", "stock_min"]
+    return named.join(demand, ["product_id", "country"], "left").select(
+        *described,
+        per_day.alias("daily_demand"),
+        lasts.alias("coverage_days"),
+        "lead_time_days",
+        restock_flag(stock, F.col("stock_min"), lasts, lead).alias("needs_restock"),
     )

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.datasets import cents
+from oreflow.functions.money import cents
 from oreflow.functions.bands import restock_band
 from oreflow.functions.calendar import month_of, quarter_of
 from oreflow.operators.dedupe import top_per_group

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.datasets import Tables, money_out
+from oreflow.fixtures.tables import Tables
+from oreflow.functions.money import money_out
 from oreflow.plans import fraud, sales
 from oreflow.plans.sales_reports import country_daily_series
 from oreflow.session import materialise

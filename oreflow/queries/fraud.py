@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from oreflow.datasets import HOME_COUNTRY, SCORE_SCALE, cents, risk_points
 from oreflow.functions.bands import age_band, risk_band
+from oreflow.functions.money import cents
 from oreflow.operators.metrics import auc, lift
 from oreflow.operators.ordered import extreme_share, exact_quantile
 from oreflow.operators.splits import stratified_split
 from oreflow.plans import fraud as fr
 from oreflow.plans import fraud_reports as rp
+from oreflow.plans.fraud import HOME_COUNTRY, SCORE_SCALE, risk_points
 from oreflow.queries.base import Layers, query
 from oreflow.queries.oracle import TX_AS_OF, ratio, sql
 from oreflow.queries.oracle import bucket as q_bucket
