@@ -12,40 +12,61 @@ from oreflow.operators.splits import stratified_split, time_split
 from oreflow.plans import forecast as fc
 from oreflow.plans import fraud as fr
 from oreflow.queries.base import Layers, query
-from oreflow.session import materialise, scratch_dir
+from oreflow.queries.oracle import sql
+from oreflow.session import is_kept, materialise, scratch_dir
+from oreflow.streaming.ingest import file_stream
 from oreflow.streaming.scoring import score_stream
 
-# Parameters for the named queries; the library's defaults are 200 trees and 120 rounds.
-TREES, FOREST_DEPTH, ROUNDS, BOOST_DEPTH = 20, 6, 10, 3
 ALIAS = "champion"
+LEAST_AUC = 0.80
 
-_stores: dict[tuple[str, str], ModelStore] = {}
+_stores: dict[tuple[str, str], tuple[ModelStore, str, str]] = {}
+_homes: dict[tuple[str, str], str] = {}
 
 
 def fraud_table(t: Layers) -> DataFrame:
     """Features with their row key, written once before training reads them many times."""
-    silver = t.stored_silver_tx()
-    return materialise(fr.fraud_features(silver, t.stored_means(silver), keep=["tx_id"]), "features")
+    return t.spark.read.parquet(_trained(t)[2])
 
 
 def fraud_store(t: Layers) -> ModelStore:
-    """A store whose champion is trained on 75% of each class and measured on the rest."""
+    return _trained(t)[0]
+
+
+def stored_means(t: Layers) -> DataFrame:
+    """The category means that the champion was trained with; scoring must use the same."""
+    return t.spark.read.parquet(_trained(t)[1])
+
+
+def _split(features: DataFrame) -> DataFrame:
+    return stratified_split(features, F.concat(F.col("tx_id"), F.lit("split")))
+
+
+def _trained(t: Layers) -> tuple[ModelStore, str, str]:
+    """A store whose champion is trained on 75% of each class and measured on the rest, and the
+    folders of its category means and features."""
     key = (t.spark.sparkContext.applicationId, t.dir)
-    if key not in _stores:
-        store = ModelStore(t.spark, scratch_dir(t.spark, "models"))
-        split = stratified_split(fraud_table(t), F.concat(F.col("tx_id"), F.lit("split")))
+    if key not in _stores or not is_kept(_homes[key]):
+        home = scratch_dir(t.spark, "models")
+        store, means, features = ModelStore(t.spark, f"{home}/store"), f"{home}/means", f"{home}/features"
+        silver = t.stored_silver_tx()
+        fr.category_means(silver).write.parquet(means)
+        table = fr.fraud_features(silver, t.spark.read.parquet(means), keep=["tx_id"])
+        table.write.parquet(features)
+        split = _split(t.spark.read.parquet(features))
         train, test = split.filter("part = 'train'").drop("part"), split.filter("part = 'test'").drop("part")
-        pipeline = boosting_pipeline("is_fraud", fr.CATEGORY_FEATURES, fr.NUMBER_FEATURES, ROUNDS, BOOST_DEPTH)
-        model = pipeline.fit(train)
-        scored = with_probability(model, test).withColumn(
-            "_score", F.round(F.col("fraud_probability") * 1_000_000).cast("bigint")
-        )
-        value = auc(scored, "_score", F.col("is_fraud") == 1).first()["auc"]
+        model = boosting_pipeline("is_fraud", fr.CATEGORY_FEATURES, fr.NUMBER_FEATURES).fit(train)
+        value = _quality(with_probability(model, test)).first()["auc"]
         store.promote(ALIAS, store.save(model, "v1"), "auc", value if value is not None else 0.0)
-        _stores[key] = store
+        _stores[key], _homes[key] = (store, means, features), home
     return _stores[key]
 
 
+def _quality(scored: DataFrame) -> DataFrame:
+    score = F.round(F.col("fraud_probability") * 1_000_000).cast("bigint")
+    return auc(scored.withColumn("_score", score), "_score", F.col("is_fraud") == 1)
+
+
 def _fraud_scores(t: Layers) -> DataFrame:
     """Every transaction with its probability and band, most suspicious first."""
     scored = with_probability(fraud_store(t).load(ALIAS), fraud_table(t))
@@ -56,43 +77,122 @@ def _fraud_scores(t: Layers) -> DataFrame:
 
 
 def _score_batch(t: Layers) -> DataFrame:
-    """The champion's quality and the alias row that says where it lies."""
-    store = fraud_store(t)
-    scored = with_probability(store.load(ALIAS), fraud_table(t)).withColumn(
-        "_score", F.round(F.col("fraud_probability") * 1_000_000).cast("bigint")
+    """The champion's quality on the rows it was not fitted on, and its alias."""
+    held_out = _split(fraud_table(t)).filter("part = 'test'").drop("part")
+    return _quality(with_probability(fraud_store(t).load(ALIAS), held_out)).withColumn("alias", F.lit(ALIAS))
+
+
+def _score_checks(t: Layers) -> DataFrame:
+    """What must hold of the scores, whatever the model: every row once, in range, and good enough."""
+    model = fraud_store(t).load(ALIAS)
+    p = F.col("fraud_probability")
+    facts = with_probability(model, fraud_table(t)).agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("tx_id").alias("ids"),
+        F.sum(F.col("is_fraud").cast("bigint")).alias("frauds"),
+        F.coalesce(F.bool_and(p.between(0.0, 1.0)), F.lit(True)).alias("in_range"),
     )
-    return auc(scored, "_score", F.col("is_fraud") == 1).withColumn("alias", F.lit(ALIAS))
+    held_out = _split(fraud_table(t)).filter("part = 'test'").drop("part")
+    quality = _quality(with_probability(model, held_out)).select((F.col("auc") >= LEAST_AUC).alias("good")).scalar()
+    return facts.withColumn("good_enough", quality)
 
 
 def _score_stream(t: Layers) -> DataFrame:
-    """Feature rows arrive as a stream; each is scored and banded once."""
-    features = fraud_table(t).drop("is_fraud")
+    """Transactions arrive as a stream; each gets its features from the stored means, and a score."""
+    silver = t.stored_silver_tx().drop("is_fraud")
     source, sink, checkpoint = (scratch_dir(t.spark, n) for n in ("arrivals", "scored", "checkpoint"))
-    features.write.parquet(source)
-    stream = t.spark.readStream.schema(features.schema).parquet(source)
-    score_stream(stream, fraud_store(t).load(ALIAS), sink, checkpoint)
+    silver.write.parquet(source)
+    arriving = file_stream(t.spark, source, silver.schema, "parquet", recursive=False)
+    features = fr.fraud_features(arriving, stored_means(t), label=False, keep=["tx_id"])
+    score_stream(features, fraud_store(t).load(ALIAS), sink, checkpoint)
     return t.spark.read.parquet(sink).select("tx_id", "fraud_probability", "band")
 
 
+def _stream_checks(t: Layers) -> DataFrame:
+    """The stream's scores are those of the batch, once per transaction."""
+    batch = with_probability(fraud_store(t).load(ALIAS), fraud_table(t)).select(
+        "tx_id", F.col("fraud_probability").alias("_batch")
+    )
+    both = _score_stream(t).join(batch, "tx_id", "full")
+    return both.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("tx_id").alias("ids"),
+        F.count_if(F.abs(F.col("fraud_probability") - F.col("_batch")) < 1e-9).alias("equal"),
+    )
+
+
 def _forecast(t: Layers) -> DataFrame:
     """Forests for amount and units; the band comes from a back-test on the last 60 days."""
+    series, days, origin = _calendar(t)
+    future = fc.with_calendar(fc.forecast_grid(series), origin)
+    errors = _backtest(days).first()
+    return fc.forest_forecast(future, _forest("amount").fit(days), _forest("units").fit(days), errors["residual_sd"])
+
+
+def _calendar(t: Layers):
     series = t.series()
     origin = F.lit(series.agg(F.min("day")).first()[0])
-    days = fc.with_calendar(
-        series.withColumns({m: F.col(m).cast("double") for m in ("amount", "units")}), origin
-    )
+    numbers = series.withColumns({m: F.col(m).cast("double") for m in ("amount", "units")})
+    return series, fc.with_calendar(numbers, origin), origin
+
+
+def _forest(target: str):
+    return forest_pipeline(target, ["country"], fc.CALENDAR_NUMBERS)
+
+
+def _backtest(days: DataFrame) -> DataFrame:
+    """The forest's MAPE and residual deviation on the last 60 days."""
     split = time_split(days, "day", 60)
-    make = lambda target: forest_pipeline(target, ["country"], fc.CALENDAR_NUMBERS, TREES, FOREST_DEPTH)
-    tested = make("amount").fit(split.filter("part = 'train'")).transform(split.filter("part = 'test'"))
-    errors = forecast_errors(tested, "amount", "amount_predicted").first()
-    future = fc.with_calendar(fc.forecast_grid(series), origin)
-    return fc.forest_forecast(future, make("amount").fit(days), make("units").fit(days), errors["residual_sd"])
+    tested = _forest("amount").fit(split.filter("part = 'train'")).transform(split.filter("part = 'test'"))
+    return forecast_errors(tested, "amount", "amount_predicted")
+
+
+def _forecast_checks(t: Layers) -> DataFrame:
+    """What must hold of a forecast: 90 days per country, an ordered band, nothing below zero."""
+    ordered = F.col("amount_min").between(0, F.col("amount_forecast")) & (F.col("amount_forecast") <= F.col("amount_max"))
+    return (
+        materialise(_forecast(t), "forecast")
+        .groupBy("country")
+        .agg(
+            F.count_distinct("day").alias("days"),
+            F.count("*").alias("rows"),
+            F.bool_and(ordered & (F.col("units_forecast") >= 0)).alias("sound"),
+        )
+    )
+
+
+def _forest_metrics(t: Layers) -> DataFrame:
+    return _backtest(_calendar(t)[1])
+
+
+def _forest_by_country(t: Layers) -> DataFrame:
+    """Totals of the stored forest forecast, as its consumers read them."""
+    return fc.forecast_by_country(materialise(_forecast(t), "forecast"))
 
 
 QUERIES = {
     "forecast_90d": query(_forecast),
+    "forecast_checks": query(_forecast_checks),
+    "forest_metrics": query(_forest_metrics),
+    "forest_by_country": query(_forest_by_country),
     "fraud_scores": query(_fraud_scores),
     "score_batch": query(_score_batch),
+    "score_checks": query(_score_checks),
     "score_stream": query(_score_stream),
+    "score_stream_checks": query(_stream_checks),
+}
+
+
+SQL: dict[str, str] = {
+    "forecast_checks": sql(
+        "select country, 90 as days, 90 as rows, true as sound from sales group by country", "sales"
+    ),
+    "score_checks": sql(
+        """select count(*) as rows, count(*) as ids, count_if(is_fraud)::bigint as frauds, true as in_range,
+        true as good_enough from silver_tx where segment is not null""",
+        "silver_tx",
+    ),
+    "score_stream_checks": sql(
+        "select count(*) as rows, count(*) as ids, count(*) as equal from silver_tx where segment is not null", "silver_tx"
+    ),
 }
-SQL: dict[str, str] = {}

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 _local_base: str | None = None
+_made: list[str] = []
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "oreflow") -> SparkSession:
@@ -36,9 +39,12 @@ def shared_base(spark: SparkSession) -> str:
     """
     global _local_base
     configured = spark.conf.get(CHECKPOINT_KEY, None)
+    one_machine = spark.sparkContext.master.startswith("local")
     if configured:
+        if not one_machine and ":" not in configured:
+            raise RuntimeError(f"{CHECKPOINT_KEY} needs a scheme, so that all executors read it alike: {configured}")
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not one_machine:
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     if _local_base is None:
         _local_base = tempfile.mkdtemp(prefix="oreflow-")
@@ -48,7 +54,33 @@ def shared_base(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder for one job's intermediate tables, checkpoints or models."""
-    return f"{shared_base(spark)}/oreflow/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_base(spark)}/oreflow/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def is_kept(path: str) -> bool:
+    """Whether a scratch folder of this process is still there."""
+    return path in _made
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the folders made by this process (those after the first ``since``); how many there were."""
+    paths, _made[since:] = _made[since:], []
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Whatever the block makes in the shared folder is gone after it; read its results inside."""
+    since = len(_made)
+    try:
+        yield
+    finally:
+        clear_scratch(spark, since)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -8,11 +8,12 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from oreflow.session import local_session
+    from oreflow.session import clear_scratch, local_session
 
     session = local_session("*", shuffle_partitions=8, app="oreflow-tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

@@ -28,4 +28,11 @@ def test_entry_has_rows_and_a_stable_schema(spark):
 
 
 def test_only_trained_models_have_no_sql():
-    assert set(queries()) - set(oracle_sql()) == {"forecast_90d", "fraud_scores", "score_batch", "score_stream"}
+    assert set(queries()) - set(oracle_sql()) == {
+        "forecast_90d",
+        "forest_metrics",
+        "forest_by_country",
+        "fraud_scores",
+        "score_batch",
+        "score_stream",
+    }

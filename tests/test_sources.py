@@ -137,3 +137,14 @@ def test_scratch_lives_in_the_clusters_folder(spark, monkeypatch):
     assert session.scratch_dir(Fake("s3a://shared/x/", "yarn"), "t").startswith("s3a://shared/x/oreflow/t-")
     with pytest.raises(RuntimeError):
         session.scratch_dir(Fake(None, "yarn"), "t")
+
+
+def test_scratch_is_empty_afterwards(spark):
+    from oreflow.session import materialise, scratch_dir, scratch_scope
+
+    with scratch_scope(spark):
+        home = scratch_dir(spark, "probe")
+        spark.range(3).write.parquet(home)
+        assert materialise(spark.range(5), "probe").count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(home)
