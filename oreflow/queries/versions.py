@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from oreflow.functions.buckets import bucket
 from oreflow.operators.governance import comment, describe
-from oreflow.operators.versioned import VersionedTable, VersionError, compare_versions, update_impact
+from oreflow.operators.snapshots import Snapshots, VersionError, compare_versions, update_impact
 from oreflow.queries.base import Layers, query
 from oreflow.queries.oracle import bucket as q_bucket
 from oreflow.queries.oracle import sql
 from oreflow.session import scratch_dir
-from oreflow.sources.files import SOURCE_FILE, scan_json, with_provenance, write_single
+from oreflow.sources.files import SOURCE_FILE, scan_json, with_provenance
 
 LIMIT = 100  # amounts above it get the discount
 SAMPLE = 1000
@@ -24,17 +24,17 @@ def _rows(t: Layers) -> DataFrame:
     return t.transactions().select("tx_id", "merchant_category", "country", "amount")
 
 
-def _table(t: Layers) -> VersionedTable:
-    return VersionedTable(t.spark, scratch_dir(t.spark, "versioned"), user="analyst")
+def _table(t: Layers) -> Snapshots:
+    return Snapshots(t.spark, scratch_dir(t.spark, "versioned"), user="analyst")
 
 
-def _created(t: Layers) -> VersionedTable:
+def _created(t: Layers) -> Snapshots:
     table = _table(t)
-    table.create_or_replace(_rows(t))
+    table.write(_rows(t))
     return table
 
 
-def _updated(t: Layers) -> VersionedTable:
+def _updated(t: Layers) -> Snapshots:
     table = _created(t)
     table.update(f"amount > {LIMIT}", amount="amount * 0.8")
     return table
@@ -49,7 +49,7 @@ def _profile(df: DataFrame) -> DataFrame:
 def _append(t: Layers):
     side = bucket(F.concat(F.col("tx_id"), F.lit("v")), 3)
     table = _table(t)
-    table.create_or_replace(_rows(t).filter(side == 0))
+    table.write(_rows(t).filter(side == 0))
     table.append(_rows(t).filter(side == 1))
     table.append(_rows(t).filter(side == 2))
     return _profile(table.read())
@@ -70,7 +70,7 @@ def _history(t: Layers):
 
 def _by_time(t: Layers):
     table = _updated(t)
-    first = table.commits().agg(F.min("committed_at")).first()[0]
+    first = table.history().agg(F.min("committed_at")).first()[0]
     try:
         table.read_at(first - timedelta(seconds=1))
     except VersionError:
@@ -101,18 +101,18 @@ def _withdraw(t: Layers):
     source = scratch_dir(t.spark, "withdraw")
     side = bucket(F.concat(F.col("tx_id"), F.lit("f")), 4)
     rows = _rows(t)
-    write_single(rows.filter(side > 0), f"{source}/good", "json")
-    write_single(rows.filter(side == 0), f"{source}/bad", "json")
+    rows.filter(side > 0).write.json(f"{source}/good")
+    rows.filter(side == 0).write.json(f"{source}/bad")
     bronze = with_provenance(scan_json(t.spark, source, rows.schema, recursive=True))
     table = _table(t)
-    table.create_or_replace(bronze)
+    table.write(bronze)
     table.delete(f"{SOURCE_FILE} LIKE '%/bad/%'")
     return _profile(table.read())
 
 
 def _sample(t: Layers):
     table = _table(t)
-    table.create_or_replace(_rows(t).orderBy("tx_id").limit(SAMPLE))
+    table.write(_rows(t).orderBy("tx_id").limit(SAMPLE))
     return table.read()
 
 

@@ -1,29 +1,24 @@
-"""Apply a change stream to a current-state table."""
+"""Apply a change stream to a table of changes on plain parquet, and read the current state."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from oreflow.operators.cdc import scd1
-from oreflow.operators.versioned import VersionedTable, VersionError
 
 
-def run_scd1(stream: DataFrame, table: VersionedTable, keys: Sequence[str], sequence: Sequence[str], checkpoint: str) -> None:
-    """Append the newest change per key of every micro-batch.
+def run_scd1(stream: DataFrame, path: str, keys: Sequence[str], sequence: Sequence[str], checkpoint: str) -> None:
+    """Keep the newest change per key of every micro-batch, in its own folder ``batch=<id>``.
 
-    A batch costs what it holds, not what the table holds. A replayed batch appends changes that
-    ``current_state`` ignores. Deleting changes stay as tombstones, so an older change that arrives
-    later cannot bring its key back.
+    A batch costs what it holds, not what the table holds, and a replay overwrites its own folder.
+    Deleting changes stay as tombstones, so an older change that arrives later cannot bring its key
+    back.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        newest = scd1(batch, keys, sequence)
-        try:
-            table.append(newest)
-        except VersionError:
-            table.create_or_replace(newest)
+        scd1(batch, keys, sequence).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     query = (
         stream.writeStream.foreachBatch(apply)
@@ -35,12 +30,7 @@ def run_scd1(stream: DataFrame, table: VersionedTable, keys: Sequence[str], sequ
 
 
 def current_state(
-    table: VersionedTable, keys: Sequence[str], sequence: Sequence[str], deleted: Column | None = None
+    spark: SparkSession, path: str, keys: Sequence[str], sequence: Sequence[str], deleted: Column | None = None
 ) -> DataFrame:
     """One row per key: its newest change, unless that change deletes it."""
-    return scd1(table.read(), keys, sequence, deleted)
-
-
-def compact_state(table: VersionedTable, keys: Sequence[str], sequence: Sequence[str]) -> int:
-    """Rewrite the table to one change per key, now and then."""
-    return table.create_or_replace(current_state(table, keys, sequence))
+    return scd1(spark.read.parquet(path).drop("batch"), keys, sequence, deleted)
