@@ -66,7 +66,8 @@ def is_kept(path: str) -> bool:
 
 def clear_scratch(spark: SparkSession, since: int = 0) -> int:
     """Delete the folders made by this process (those after the first ``since``); how many there were."""
-    paths, _made[since:] = _made[since:], []
+    base = shared_base(spark)
+    paths, _made[since:] = [p for p in _made[since:] if p.startswith(f"{base}/")], []
     for name in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
