@@ -137,7 +137,9 @@ def quality_rules(df: DataFrame, text: str = "text", rules: Sequence[Rule] = RUL
     """
     own = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_shouted"]
     rest = [c for c in df.columns if c not in (*own, "base_failed", "failed_rules", "kept", "_c")]
-    measured = df.select(*rest, text_counts(F.col(text)).alias("_c")).select(
+    # Exploding one struct computes it once: a filter on the verdict can't be pushed below it, where
+    # it would repeat the counts for every rule.
+    measured = df.select(*rest, F.explode(F.array(text_counts(F.col(text)))).alias("_c")).select(
         *rest,
         *[
             F.col({"n_lines": "_c.lines.n", "n_dup_lines": "_c.lines.dup"}.get(c, f"_c.{c}")).alias(c)
