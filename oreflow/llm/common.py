@@ -14,6 +14,19 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_PATTERN = r"[ \t-\r]+"
 
 
+BATCH_KEY, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send whole texts to Python a few hundred at a time.
+
+    Spark's default of 10,000 rows a batch holds some hundred megabytes of texts in each buffer
+    between the JVM and Python. A smaller setting of the session stays.
+    """
+    if not 0 < int(spark.conf.get(BATCH_KEY)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_KEY, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from oreflow.llm.common import small_batches
 from oreflow.llm.crf import Crf, shapes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -201,6 +202,7 @@ def find_pii(df: DataFrame, text: str = "text") -> DataFrame:
     scanned whole, in time linear in their length; repeated rows get the same spans; a column
     ``pii`` is replaced; an empty table gives an empty result.
     """
+    small_batches(df.sparkSession)
     model = df.sparkSession.sparkContext.broadcast(trained())
 
     @F.arrow_udf(SPAN_TYPE)
