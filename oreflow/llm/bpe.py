@@ -7,6 +7,7 @@ import hashlib
 import heapq
 import json
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -14,14 +15,17 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import let
+from oreflow.llm.common import let, small_batches
 
-MAX_VOCABULARY = 131_072  # ids fit in 17 bits, and the rank map has a proven size
-BUCKETS = 131_072
-CACHED_WORDS = 400_000
+MAX_VOCABULARY = 131_070  # ids fit in 17 bits, and the rank map has a proven size
+OUTSIDE, NO_RANK = 131_070, 131_071
+BUCKETS = 131_071
+CACHED_WORDS = 500_000
 FOLDED_BYTES = 128
 _BLOCK_CHARS = 2_000_000
-_STATE = "struct<ids:array<bigint>,ranks:array<bigint>>"
+_RANK_BIT = 25  # below the rank in a cell: 8 bits of place, 17 of the id
+_RANK = 1 << _RANK_BIT
+_PLACES = 0xFF << 17
 
 
 class Vocabulary:
@@ -47,68 +51,69 @@ class Vocabulary:
         return found
 
 
-def _bucket(left, right):
-    return (left * 48_271 + right * 69_621) % BUCKETS
-
-
 def rank_map(merges: dict[int, int]) -> Column:
     """The rank map as a literal: per bucket the pairs' keys, and beside them the merged ids.
 
-    The buckets are found by a hash of the pair; one map would be searched from its first key to
-    its last on each look-up. Spark folds the parsed text into a literal when it plans the query.
+    The buckets are found by the key's remainder; one map would be searched from its first key to
+    its last on each look-up. Each bucket's ids begin with ``NO_RANK``, for a pair that isn't there.
+    Spark folds the parsed text into a literal when it plans the query.
     """
     keys: list[list[int]] = [[] for _ in range(BUCKETS)]
-    ids: list[list[int]] = [[] for _ in range(BUCKETS)]
+    ids: list[list[int]] = [[NO_RANK] for _ in range(BUCKETS)]
     for key, rank in merges.items():
-        bucket = _bucket(key >> 17, key & 131_071)
-        keys[bucket].append(key)
-        ids[bucket].append(rank)
+        keys[key % BUCKETS].append(key)
+        ids[key % BUCKETS].append(rank)
     text = json.dumps({"keys": keys, "ids": ids}, separators=(",", ":"))
     return F.from_json(F.lit(text), "keys array<array<bigint>>, ids array<array<bigint>>")
 
 
 def fold_merges(word: Column, byte_ids: Column, ranks: Column) -> Column:
-    """The token ids of a word given as an array of byte values.
-
-    Each step merges the first pair of the lowest rank and looks up the two pairs that this makes;
-    no step is needed after ``n - 1``. A word that is given as finished ids, as ``-1 - id``, only
-    has them restored.
+    """The token ids of a word given as an array of byte values, at most ``FOLDED_BYTES`` long.
+
+    The state is one array of numbers, a cell per token: the rank of the merge with the next token,
+    the place of the token's first byte, and its id. The smallest cell is therefore the first of
+    the merges with the lowest rank. A step replaces it, gives its left neighbour a new rank and
+    drops its right one; no step is needed after ``n - 1``. A cell before the first and one after
+    the last token merge with nothing, so every token has two neighbours. A word that is given as
+    finished ids, as ``-1 - id``, only has them restored.
     """
+    outside = F.lit(NO_RANK * _RANK + OUTSIDE)
 
-    def lookup(left: Column, right: Column) -> Column:
-        bucket = (_bucket(left, right)).cast("int")
-        place = F.array_position(F.get(ranks["keys"], bucket), F.shiftleft(left, 17).bitwiseOR(right))
-        return F.get(F.get(ranks["ids"], bucket), place.cast("int") - 1)
+    def rank(left: Column, right: Column) -> Column:
+        key = left * 131_072 + right
+        bucket = (key % BUCKETS).cast("int")
+        return F.get(F.get(ranks["ids"], bucket), F.array_position(F.get(ranks["keys"], bucket), key).cast("int"))
+
+    def token(cell: Column) -> Column:
+        return cell.bitwiseAND(131_071)
 
     def start(ids: Column) -> Column:
-        pairs = F.transform(F.slice(ids, 2, F.size(ids)), lambda right, i: lookup(F.get(ids, i), right))
-        return F.struct(ids.alias("ids"), pairs.alias("ranks")).cast(_STATE)
-
-    def merged(s: Column, rank: Column, at: Column) -> Column:
-        ids, pairs = s["ids"], s["ranks"]
-        before = F.when(at > 1, F.array(lookup(F.get(ids, at - 2), rank))).otherwise(F.array().cast("array<bigint>"))
-        after = F.when(at < F.size(pairs), F.array(lookup(rank, F.get(ids, at + 1)))).otherwise(
-            F.array().cast("array<bigint>")
+        cells = F.transform(
+            ids, lambda x, i: rank(x, F.coalesce(F.get(ids, i + 1), F.lit(OUTSIDE))) * _RANK + i * 131_072 + x
         )
-        return F.struct(
-            F.concat(F.slice(ids, 1, at - 1), F.array(rank), F.slice(ids, at + 2, F.size(ids))).alias("ids"),
-            F.concat(
-                F.slice(pairs, 1, F.greatest(at - 2, F.lit(0))), before, after, F.slice(pairs, at + 2, F.size(ids))
-            ).alias("ranks"),
-        ).cast(_STATE)
-
-    def step(s: Column, _: Column) -> Column:
-        lowest = F.array_min(s["ranks"])
-        return F.when(lowest.isNull(), s).otherwise(
-            let(
-                F.struct(lowest.alias("rank"), F.array_position(s["ranks"], lowest).cast("int").alias("at")),
-                lambda x: merged(s, x["rank"], x["at"]),
-            )
+        return F.concat(F.array(outside), cells, F.array(outside))
+
+    def merged(cells: Column, lowest: Column, at: Column) -> Column:
+        new, left = F.shiftright(lowest, _RANK_BIT), F.get(cells, at - 2)
+        own = rank(new, token(F.get(cells, at + 1))) * _RANK + lowest.bitwiseAND(_PLACES) + new
+        before = rank(token(left), new) * _RANK + left.bitwiseAND(_RANK - 1)
+        rest = F.slice(cells, at + 2, F.size(cells))
+        return F.concat(F.slice(cells, 1, at - 2), F.array(before, own), rest)
+
+    def step(cells: Column, _: Column) -> Column:
+        return let(
+            F.array_min(cells),
+            lambda low: F.when(low >= NO_RANK * _RANK, cells).otherwise(
+                let(F.array_position(cells, low).cast("int"), lambda at: merged(cells, low, at))
+            ),
         )
 
     def folded(ids: Column) -> Column:
         steps = F.sequence(F.lit(1), F.size(ids) - 1)
-        return F.when(F.size(ids) < 2, ids).otherwise(F.aggregate(steps, start(ids), step, lambda s: s["ids"]))
+        tokens = F.aggregate(
+            steps, start(ids), step, lambda cells: F.transform(F.slice(cells, 2, F.size(cells) - 2), token)
+        )
+        return F.when(F.size(ids) < 2, ids).otherwise(tokens)
 
     finished = F.transform(word, lambda x: (-1 - x).cast("bigint"))
     return F.when(F.get(word, F.lit(0)) < 0, finished).otherwise(
@@ -163,24 +168,24 @@ def _numbered_words(docs: DataFrame, pattern: str, shared) -> DataFrame:
                     known, pieces = len(numbers), split(texts[row] or "")
                     mine = [numbers.setdefault(p, len(numbers)) for p in pieces]
                     codes.append(np.array(mine, np.uint32).tobytes())
-                    fresh = len(numbers) - known
-                    if fresh:
-                        seen = known
-                        for p, n in zip(pieces, mine, strict=True):
-                            if n == seen:
-                                words.append(p.encode())
-                                seen += 1
-                    counts.append(fresh)
+                    counts.append(len(numbers) - known)
+                    # The newest keys of the dictionary, oldest first.
+                    words += list(islice(reversed(numbers), counts[-1]))[::-1]
                     chars += len(texts[row] or "")
                     row += 1
-                lists = [
-                    np.frombuffer(w, np.uint8).astype(np.int32)
-                    if len(w) <= FOLDED_BYTES
-                    else -1 - np.array(merge_long(w, byte_ids, merges), np.int32)
-                    for w in words
-                ]
-                flat = np.concatenate(lists) if lists else np.zeros(0, np.int32)
-                ends = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
+                words = [w.encode() for w in words]
+                sizes = [len(w) for w in words]
+                if max(sizes, default=0) <= FOLDED_BYTES:
+                    flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int32)
+                else:
+                    lists = [
+                        np.frombuffer(w, np.uint8).astype(np.int32)
+                        if len(w) <= FOLDED_BYTES
+                        else -1 - np.array(merge_long(w, byte_ids, merges), np.int32)
+                        for w in words
+                    ]
+                    sizes, flat = [len(x) for x in lists], np.concatenate(lists)
+                ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
                 inner = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
                 outer = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -205,6 +210,7 @@ def _encoded(docs: DataFrame, path: str, pattern: str, schema: str, finish: Call
     starts from nothing.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     vocabulary = Vocabulary(path)
     merges = vocabulary.merges()
     tokens = [vocabulary.tokens.get(i, b"") for i in range(max(vocabulary.tokens) + 1)]
