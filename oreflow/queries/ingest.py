@@ -73,8 +73,12 @@ def _sql_on_files(t: Layers):
 
 
 def _scan_table(t: Layers):
-    t.customer.createOrReplaceTempView("oreflow_customer")
-    return t.spark.table("oreflow_customer")
+    """A table of the catalog, read by its name."""
+    path = scratch_dir(t.spark, "table")
+    t.customer.write.parquet(path)
+    name = f"oreflow_customer_{path[-8:]}"
+    t.spark.catalog.createTable(name, path=path, source="parquet")
+    return t.spark.table(name)
 
 
 def _list_files(t: Layers):
