@@ -141,13 +141,14 @@ def _compared(runs: DataFrame) -> DataFrame:
 
     The rows of an anchor come sorted by content and id. The first of a content has its smallest
     id; those of larger ids are copies of it, all windows. An anchor with several contents has the
-    first of each compared window by window (``copy`` is false). The state between batches is one
-    row, however many rows an anchor has.
+    rows of each content's smallest id compared window by window (``copy`` is false): the document
+    may repeat the run, and every repeat can lie in a smaller document in parts. The state between
+    batches is the places of one run in one document, however many rows an anchor has.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple | None = None  # anchor, content, smallest id
-        held: tuple | None = None  # the anchor's first run, while it is its only content
+        held: list[tuple] = []  # the rows to compare of the anchor's only content so far
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -161,20 +162,19 @@ def _compared(runs: DataFrame) -> DataFrame:
             index = np.maximum.accumulate(np.where(new_content, np.arange(len(key)), -1))
             least = np.where(index >= 0, doc[index], last[2] if last is not None else 0)
             copy = known | (doc > least)
-            head = new_content & ~known
-            group = np.cumsum(new_key)
-            heads = np.bincount(group[head], minlength=group[-1] + 1)
-            several = heads[group] + ((group == 0) & (held is not None)) > 1
-            again = (group == 0) & (last is not None and held is None)
-            compare = head & (several | again)
-            out = [(key[copy], doc[copy], place[copy], True), (key[compare], doc[compare], place[compare], False)]
-            if held is not None and heads[0]:
-                out.append(tuple(np.array([x], np.int64) for x in held) + (False,))
-            if group[-1] == 0:
-                held = None if held is not None and heads[0] else held
-            else:
-                mine = np.flatnonzero((group == group[-1]) & head)
-                held = (key[mine[0]], doc[mine[0]], place[mine[0]]) if len(mine) == 1 else None
+            group = np.cumsum(new_key)  # group 0 goes on from the batch before
+            heads = np.bincount(group[new_content & ~known], minlength=group[-1] + 1)
+            several = heads[group] + ((group == 0) & bool(held)) > 1
+            again = (group == 0) & (last is not None and not held)
+            open_ = ~copy & (several | again)
+            out = [(key[copy], doc[copy], place[copy], True), (key[open_], doc[open_], place[open_], False)]
+            if held and heads[0]:
+                out += [(*h, False) for h in held]
+            if group[-1] or heads[0]:
+                held = []
+            if not (several | again)[-1]:
+                mine = ~copy & (group == group[-1])
+                held.append((key[mine], doc[mine], place[mine]))
             last = (key[-1], content[-1], least[-1])
             columns = [pa.array(np.concatenate([o[k] for o in out]), pa.int64()) for k in range(3)]
             flags = np.concatenate([np.full(len(o[0]), o[3]) for o in out])
@@ -193,7 +193,7 @@ def _contents(docs: DataFrame, open_runs: DataFrame) -> DataFrame:
     hot = open_runs.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_RUNS)
     tagged = open_runs.join(hot.select("anchor", F.lit(True).alias("hot")), "anchor", "left")
     wanted = tagged.groupBy("doc_id").agg(
-        F.collect_list(F.struct("anchor", "place", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("runs")
+        F.collect_set(F.struct("anchor", "place", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("runs")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -80,6 +80,34 @@ def test_passages_against_brute_force_with_hot_shards(spark, monkeypatch):
         assert {r[0]: tuple(r)[1:] for r in got} == want
 
 
+def test_passages_repeated_inside_one_document(spark, monkeypatch):
+    rng = random.Random(7)
+    line = " ".join(f"l{i}" for i in range(15))
+    lines = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randint(13, 18))) for _ in range(12)]
+    rows = [(1, f"x y {line} z"), (2, " ".join([line] * 6)), (2, " ".join([line] * 6))]
+    for i in range(3, 60):
+        parts = [rng.choice(lines) for _ in range(rng.randint(1, 3))]
+        rows.append((i, " ".join(f"{p} {rng.choice('xyz')}" if rng.random() < 0.5 else p for p in parts * rng.randint(1, 4))))
+    seen: dict = {}
+    want = []
+    for i, text in rows:
+        ws, gone = text.split(), set()
+        for k in range(len(ws) - 12):
+            if seen.setdefault(tuple(ws[k : k + 13]), i) < i:
+                gone |= set(range(k, k + 13))
+        want.append((i, len(ws), len(gone), " ".join(w for k, w in enumerate(ws) if k not in gone)))
+    assert want[1][2] == 90
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for hot, size in ((passages.HOT_RUNS, batch), (3, "3")):
+            monkeypatch.setattr(passages, "HOT_RUNS", hot)
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            got = passages.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()
+            assert sorted(map(tuple, got)) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+
+
 def test_automaton_matches_brute_force():
     rng = random.Random(2)
     automaton, texts = SuffixAutomaton(), []
