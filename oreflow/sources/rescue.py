@@ -37,18 +37,22 @@ def parse_with_rescue(lines: DataFrame, schema: T.StructType, text: str = "value
     return parsed.select(*[F.col(f"_typed.`{n}`").alias(n) for n in fields], rescued.alias(RESCUED), *others)
 
 
-def type_with_rescue(rows: DataFrame, schema: T.StructType, keep: list[str]) -> DataFrame:
+def type_with_rescue(rows: DataFrame, schema: T.StructType, keep: list[str], broken: str | None = None) -> DataFrame:
     """The same for rows of text columns named by a file header, such as CSV.
 
     Columns are matched by name: the schema's are cast, missing ones are NULL, and unknown or misfit
-    values go to the JSON text. ``keep`` names the columns that are neither.
+    values go to the JSON text. ``keep`` names the columns that are neither. ``broken`` names the
+    column with the whole line of a row that has more or fewer values than the header; where it is
+    set, that line is rescued instead.
     """
     known = {f.name: f.dataType for f in schema.fields}
-    texts = [c for c in rows.columns if c not in keep]
+    texts = [c for c in rows.columns if c not in keep and c != broken]
     typed = {n: F.col(f"`{n}`").try_cast(t) if n in texts else F.lit(None).cast(t) for n, t in known.items()}
     lost = [
         F.when(typed[c].isNull(), F.col(f"`{c}`")).alias(c) if c in known else F.col(f"`{c}`").alias(c) for c in texts
     ]
     rescued = F.to_json(F.struct(*lost)) if lost else F.lit(None).cast("string")
     rescued = F.when(rescued != "{}", rescued)
+    if broken is not None:
+        rescued = F.coalesce(F.col(f"`{broken}`"), rescued)
     return rows.select(*[c.alias(n) for n, c in typed.items()], rescued.alias(RESCUED), *keep)

@@ -10,6 +10,7 @@ from oreflow.sources.files import INGESTED_AT, SOURCE_FILE, as_struct, csv_heade
 from oreflow.sources.rescue import parse_with_rescue, type_with_rescue
 
 
+BROKEN = "_broken_line"
 MAX_FILES = 1_000  # per micro-batch, so that a first drain isn't one batch of the whole folder
 
 
@@ -21,15 +22,19 @@ def file_stream(
     recursive: bool = True,
     archive_to: str | None = None,
     max_files: int = MAX_FILES,
+    broken: str | None = None,
 ) -> DataFrame:
     """A stream over a folder. Hidden names are skipped; sub-folders count when ``recursive``.
 
     ``archive_to`` moves files away once their batch is committed. CSV headers are compared with
-    the schema's names, and a file that differs stops the stream.
+    the schema's names, and a file that differs stops the stream. ``broken`` names a text column of
+    the schema that gets the line of a CSV row with more or fewer values than the header.
     """
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", recursive)
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
+        if broken is not None:
+            reader = reader.option("columnNameOfCorruptRecord", broken)
     if archive_to is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_to)
     return reader.option("maxFilesPerTrigger", max_files).load(source)
@@ -46,8 +51,12 @@ def rescued_stream(
     if fmt != "csv":
         raise ValueError(f"no rescue for {fmt}: its files carry their own types")
     texts = csv_header(spark, source, wanted, options.get("recursive", True))
-    rows = with_provenance(file_stream(spark, source, texts, "csv", **options))
-    return type_with_rescue(rows, wanted, [INGESTED_AT, SOURCE_FILE])
+    broken = BROKEN
+    while broken in map(str.lower, [*texts.names, *wanted.names]):
+        broken += "_"
+    texts = T.StructType([*texts.fields, T.StructField(broken, T.StringType())])
+    rows = with_provenance(file_stream(spark, source, texts, "csv", broken=broken, **options))
+    return type_with_rescue(rows, wanted, [INGESTED_AT, SOURCE_FILE], broken)
 
 
 def drain_to(stream: DataFrame, sink: str, checkpoint: str) -> None:

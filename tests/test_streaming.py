@@ -46,6 +46,24 @@ def test_ingest_loses_no_field(spark, place):
     assert got == [(1, 7.0, '{"extra":"x"}'), (2, None, '{"extra":"y","amount":"n/a"}')]
 
 
+def test_csv_rows_of_another_length_are_kept_whole(spark, place):
+    csv, sink, checkpoint = place("csv"), place("sink"), place("checkpoint")
+    lines = ["amount,id", "1.5,1", '2.5,2,"SUR,PLUS",x', "3.5", "n/a,4", "4.5,5,", ","]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(csv)
+    got = rows(drain(spark, csv, SCHEMA, sink, checkpoint, "csv"), "id", "amount", "_rescued_data")
+    assert got == sorted(
+        [
+            (1, 1.5, None),
+            (2, 2.5, '2.5,2,"SUR,PLUS",x'),
+            (None, 3.5, "3.5"),
+            (4, None, '{"amount":"n/a"}'),
+            (5, 4.5, "4.5,5,"),
+            (None, None, None),
+        ],
+        key=repr,
+    )
+
+
 def test_an_empty_folder_gives_an_empty_table(spark, place):
     source, sink, checkpoint = place("source"), place("sink"), place("checkpoint")
     spark.createDataFrame([], SCHEMA).write.json(f"{source}/_nothing")
