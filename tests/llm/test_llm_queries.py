@@ -146,3 +146,29 @@ def test_pipeline_stages(spark):
     for r in rows[:40]:
         assert list(r["ids"]) == enc.encode_ordinary(r["decoded"])
         assert not brute_pii(r["decoded"])
+
+
+def test_near_copies_stage_matches_brute_force(spark):
+    docs = [(d["doc_id"], d["text"]) for d in DOCS]
+    base = " ".join(f"w{i}" for i in range(100))
+    top = max(i for i, _ in docs)
+    # Words appended to 96 shingles: 24 more are a similarity of exactly 0.8, 25 more are below.
+    docs += [(top + 1, base), (top + 2, base + " " + " ".join(f"x{i}" for i in range(24)))]
+    docs += [(top + 3, base.replace("w", "v")), (top + 4, base.replace("w", "v") + " " + " ".join(f"y{i}" for i in range(25)))]
+    docs += [(top + 5, "One two"), (top + 6, "one  TWO"), (top + 7, None), (top + 8, " \t")]
+
+    def grams(text):
+        ws = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        return {tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))} if ws else set()
+
+    sets = {i: grams(t) for i, t in docs}
+    links = [
+        (a, b)
+        for a, b in itertools.combinations(sets, 2)
+        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    ]
+    want = set(smallest_reached(sets, links).values())
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    got = [r["doc_id"] for r in corpus_pipeline.near_copies_stage(spark, df, SF).collect()]
+    assert sorted(got) == sorted(want)
+    assert top + 2 not in want and {top + 3, top + 4} <= want
