@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import bpe, chats, licenses, mixing, passages, pii, quality, simhash, urls, vectors
+from oreflow.llm import bpe, chats, licenses, merkle, mixing, passages, pii, quality, simhash, urls, vectors
 from oreflow.llm.common import table
 
 URL_RULES = (
@@ -92,6 +92,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    return merkle.manifest(docs).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_passages": op2_passages,
@@ -103,4 +108,5 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_licenses": op9_licenses,
     "op10_pii": op10_pii,
+    "op12_manifest": op12_manifest,
 }

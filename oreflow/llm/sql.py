@@ -172,4 +172,126 @@ SELECT doc_id, n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_
 FROM n LEFT JOIN f USING (doc_id)
 """
 
-SQL = {"op1_quality": OP1, "op2_passages": OP2, "op3_urls": OP3, "op5_vectors": OP5, "op6_chats": OP6, "op9_licenses": OP9}
+# CRC-32 of a short text, bit by bit: ``list_reduce`` over its bytes, then over eight shifts.
+_CRC = """xor(4294967295::BIGINT, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(doc_id::VARCHAR, '.'), lambda c: ascii(c)::BIGINT)),
+    lambda state, byte: list_reduce(list_prepend(xor(state, byte), range(8)),
+        lambda s, i: CASE WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384::BIGINT) ELSE s >> 1 END)))"""
+
+
+def _record(text: str) -> str:
+    fields = [f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen({v}::VARCHAR) || ':' || {v}::VARCHAR END"
+              for v in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+def _levels(name: str, depth: int) -> str:
+    """Levels ``name0``..: runs of eight become their hash while a tree has more than one node."""
+    steps = []
+    for k in range(1, depth + 1):
+        steps.append(f"""{name}{k} AS (
+  SELECT g, pos // 8 AS pos, CASE WHEN any_value(m) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h,
+         (any_value(m) + 7) // 8 AS m
+  FROM {name}{k - 1} GROUP BY g, pos // 8
+)""")
+    return ", ".join(steps)
+
+
+def _sides(name: str, k: int) -> str:
+    """Siblings of every node of a level, before and after it; empty where the tree has ended."""
+    return f"""(SELECT a.g, a.pos,
+    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before,
+    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS after, any_value(a.m) > 1 AS rises
+  FROM {name}{k} a JOIN {name}{k} b ON a.g IS NOT DISTINCT FROM b.g AND a.pos // 8 = b.pos // 8 GROUP BY a.g, a.pos)"""
+
+
+def _folds(name: str, depth: int, start: str) -> str:
+    """Climb from ``start`` (g, pos, proof, digest, ...) over every level of the trees ``name``."""
+    steps = []
+    for k in range(depth):
+        last = start if k == 0 else f"{name}f{k - 1}"
+        steps.append(f"""{name}f{k} AS (
+  SELECT f.* REPLACE (f.pos // 8 AS pos, f.proof || s.before || s.after AS proof,
+         CASE WHEN s.rises THEN sha256(s.before || f.digest || s.after) ELSE f.digest END AS digest)
+  FROM {last} f JOIN {_sides(name, k)} s ON f.g IS NOT DISTINCT FROM s.g AND f.pos = s.pos
+)""")
+    return ", ".join(steps)
+
+
+_DEPTH, _TOP = 8, 3
+OP12 = f"""
+WITH d AS (
+  SELECT doc_id, lang, {_record("text")} AS leaf,
+         {_record("CASE WHEN " + _CRC + " % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END")} AS forged
+  FROM documents
+), l AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS m
+  FROM d
+), t0 AS (SELECT lang AS g, pos, leaf AS h, m FROM l), {_levels("t", _DEPTH)}, r0 AS (
+  SELECT 0 AS g, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS pos, h, count(*) OVER () AS m, g AS lang FROM t{_DEPTH}
+), {_levels("r", _TOP)}, s AS (
+  SELECT lang AS g, pos, '' AS proof, forged AS digest, doc_id, leaf FROM l
+), {_folds("t", _DEPTH, "s")}, u AS (
+  SELECT 0 AS g, r0.pos, f.proof, f.digest, f.doc_id, f.leaf, r0.h AS subroot
+  FROM tf{_DEPTH - 1} f JOIN r0 ON f.g IS NOT DISTINCT FROM r0.lang
+), {_folds("r", _TOP, "u")}
+SELECT doc_id, leaf, subroot, r{_TOP}.h AS root, sha256(proof) AS proof_sha256, digest AS folded_root, digest = r{_TOP}.h AS verified
+FROM rf{_TOP - 1}, r{_TOP}
+"""
+
+OP13 = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+), s AS (
+  SELECT a.r, a.vec_id AS query_id, b.vec_id, CASE WHEN len(a.q) = len(b.q) THEN list_inner_product(a.q, b.q) END::BIGINT AS score
+  FROM v a JOIN v b ON a.r <> b.r AND len(a.q) = len(b.q) WHERE a.vec_id % 20 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+OP11 = r"""
+WITH p AS (
+  SELECT r, i AS piece, lang, regexp_extract_all(x, '[^ \t]+') AS ws
+  FROM (SELECT r, lang, unnest(xs) AS x, unnest(range(len(xs))) AS i
+        FROM (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+                     regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[.,;:!?\x0A-\x0D]') AS xs FROM documents))
+), g AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM p, range(1, 5) AS n(k))
+  GROUP BY ALL
+), n AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang
+), c AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM g WHERE k > 1 AND f >= 30
+), cut AS (
+  SELECT c.lang, c.k, c.phrase, a, j, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+  JOIN g x ON x.lang = c.lang AND x.phrase = array_to_string(ws[:j], ' ')
+  JOIN g y ON y.lang = c.lang AND y.phrase = array_to_string(ws[j + 1:], ' ')
+), worst AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inner_ AS (
+  SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, ws, a, m, unnest(range(1, k - m + 2)) AS i FROM c, range(2, 4) AS n(m) WHERE m < k)
+  GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM worst JOIN n USING (lang) LEFT JOIN inner_ USING (lang, phrase)
+WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+QUALIFY rank <= 2000
+"""
+
+SQL = {
+    "op1_quality": OP1,
+    "op2_passages": OP2,
+    "op3_urls": OP3,
+    "op5_vectors": OP5,
+    "op6_chats": OP6,
+    "op9_licenses": OP9,
+    "op11_phrases": OP11,
+    "op12_manifest": OP12,
+    "op13_search": OP13,
+}
