@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import bpe, chats, licenses, merkle, mixing, passages, pii, quality, simhash, urls, vectors
+from oreflow.llm import bpe, chats, licenses, merkle, mixing, passages, pii, quality, search, simhash, urls, vectors
 from oreflow.llm.common import table
 
 URL_RULES = (
@@ -97,6 +97,10 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_passages": op2_passages,
@@ -109,4 +113,5 @@ QUERIES = {
     "op9_licenses": op9_licenses,
     "op10_pii": op10_pii,
     "op12_manifest": op12_manifest,
+    "op13_search": op13_search,
 }

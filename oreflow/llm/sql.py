@@ -242,9 +242,9 @@ FROM rf{_TOP - 1}, r{_TOP}
 OP13 = """
 WITH v AS (
   SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q FROM embeddings
-  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
 ), s AS (
-  SELECT a.r, a.vec_id AS query_id, b.vec_id, CASE WHEN len(a.q) = len(b.q) THEN list_inner_product(a.q, b.q) END::BIGINT AS score
+  SELECT a.r, a.vec_id AS query_id, b.vec_id, CASE WHEN len(a.q) = 0 THEN 0 WHEN len(a.q) = len(b.q) THEN list_inner_product(a.q, b.q) END::BIGINT AS score
   FROM v a JOIN v b ON a.r <> b.r AND len(a.q) = len(b.q) WHERE a.vec_id % 20 = 0
 )
 SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank, vec_id, score
