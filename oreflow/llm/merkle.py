@@ -216,11 +216,11 @@ def manifest(docs: DataFrame) -> DataFrame:
     nothing = whole.roots.select("group", F.array().cast(STEPS).alias("steps"))
     tops = proofs(whole, nothing).select(F.col("lang").alias("group"), "digest", "steps")
     tops = materialise(tops, "merkle-tops")
-    root = whole.roots.select(F.col("digest").alias("root"), F.lit(0).alias("all"))
-    of_lang = tops.select(F.col("group").alias("_lang"), F.col("digest").alias("subroot"), F.lit(0).alias("all"))
-    of_lang = of_lang.join(root, "all").drop("all")
+    root = whole.roots.first()
+    of_lang = tops.select(F.col("group").alias("_lang"), F.col("digest").alias("subroot"))
     found = proofs(langs, tops.select("group", "steps"))
     found = found.join(of_lang, F.col("group").eqNullSafe(F.col("_lang")))
+    found = found.withColumn("root", F.lit(root and root["digest"]).cast("string"))
     return found.select(
         "doc_id",
         F.col("group").alias("lang"),

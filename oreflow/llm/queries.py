@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow.llm import bpe, chats, licenses, merkle, mixing, passages, pii, quality, search, simhash, urls, vectors
+from oreflow.llm import bpe, chats, licenses, merkle, mixing, passages, phrases, pii, quality, search, simhash, urls, vectors
 from oreflow.llm.common import table
 
 URL_RULES = (
@@ -92,6 +92,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
     return merkle.manifest(docs).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
@@ -112,6 +116,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_licenses": op9_licenses,
     "op10_pii": op10_pii,
+    "op11_phrases": op11_phrases,
     "op12_manifest": op12_manifest,
     "op13_search": op13_search,
 }
