@@ -17,6 +17,7 @@ from oreflow.session import materialise, scratch_dir
 from oreflow.sources import files, schemas
 from oreflow.sources.files import SOURCE_FILE
 from oreflow.sources.rescue import RESCUED, parse_with_rescue
+from oreflow.streaming.changes import current_state, history, run_scd1, run_scd2
 from oreflow.streaming.ingest import drain, file_stream
 from oreflow.streaming.silver import run_silver
 
@@ -355,6 +356,38 @@ def _scd2(t: Layers):
     return spans.select("user_id", "event_type", "valid_from", "valid_to", "is_current")
 
 
+EVENT_SCHEMA = "user_id bigint, ts timestamp_ntz, event_id bigint, event_type string, value double"
+
+
+def _shuffled_drains(t: Layers, apply) -> None:
+    """The events in three drains, dealt by hash and so out of order; the first one's files come again."""
+    source, checkpoint = scratch_dir(t.spark, "feed"), scratch_dir(t.spark, "checkpoint")
+    third = bucket(F.concat(F.col("event_id").cast("string"), F.lit("drain")), 3)
+    changes = materialise(_changes(t).withColumn("drain", third), "changes")
+    for drains in ([0], [1], [2, 0]):
+        changes.filter(F.col("drain").isin(drains)).drop("drain").write.mode("append").parquet(source)
+        apply(t.spark.readStream.schema(EVENT_SCHEMA).parquet(source), checkpoint)
+
+
+def _scd1_stream(t: Layers):
+    path, keys, sequence = scratch_dir(t.spark, "latest"), ["user_id"], ["ts", "event_id"]
+    gone = F.col("event_type") == "error"
+    _shuffled_drains(t, lambda stream, checkpoint: run_scd1(stream, path, keys, sequence, checkpoint, buckets=8))
+    return current_state(t.spark, path, keys, T.StructType.fromDDL(EVENT_SCHEMA), gone, buckets=8)
+
+
+def _scd2_stream(t: Layers):
+    path, keys, sequence = scratch_dir(t.spark, "history"), ["user_id"], ["ts", "event_id"]
+    _shuffled_drains(
+        t,
+        lambda stream, checkpoint: run_scd2(
+            stream, path, keys, sequence, ["event_type"], F.to_date("ts"), checkpoint, buckets=8
+        ),
+    )
+    spans = history(t.spark, path, keys, sequence, T.StructType.fromDDL(EVENT_SCHEMA), buckets=8)
+    return spans.select("user_id", "event_type", "valid_from", "valid_to", "is_current")
+
+
 QUERIES = {
     "scan_json_roundtrip": query(_json_roundtrip),
     "scan_csv_roundtrip": query(_csv_roundtrip),
@@ -382,6 +415,8 @@ QUERIES = {
     "gold_refresh": query(_gold_refresh),
     "scd1": query(_scd1),
     "scd2": query(_scd2),
+    "scd1_stream": query(_scd1_stream),
+    "scd2_stream": query(_scd2_stream),
 }
 
 _SPLIT = f"""select case when age <= (select quantile_cont(age::double, 0.045) from aged) then 'late' else 'initial' end
@@ -487,3 +522,4 @@ SQL = {
     ),
 }
 
+SQL["scd1_stream"], SQL["scd2_stream"] = SQL["scd1"], SQL["scd2"]

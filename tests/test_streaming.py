@@ -4,7 +4,6 @@ from oreflow.operators.quality import DROP, FAIL, WARN, Rule
 from oreflow.plans.jobs import run_fraud_job, run_sales_job
 from oreflow.queries.base import Layers
 from oreflow.sources import files
-from oreflow.streaming.changes import current_state, run_scd1
 from oreflow.sources.files import SOURCE_FILE
 from oreflow.streaming.ingest import drain, drain_to_table, file_stream
 from oreflow.streaming.silver import dedupe_stream, run_silver
@@ -151,22 +150,6 @@ def test_watermark_dedupe(spark, place):
     assert spark.read.parquet(sink).count() == 3
 
 
-def test_change_stream_keeps_tombstones(spark, place):
-    source, checkpoint = place("source"), place("checkpoint")
-    table = place("state")
-    schema = "k string, seq int, gone boolean"
-
-    def land(*data):
-        spark.createDataFrame(list(data), schema).coalesce(1).write.mode("append").json(source)
-        run_scd1(spark.readStream.schema(schema).json(source), table, ["k"], ["seq"], checkpoint)
-
-    land(("a", 1, False), ("b", 1, False))
-    land(("a", 3, True))
-    land(("a", 2, False), ("b", 2, False))
-    assert rows(current_state(spark, table, ["k"], ["seq"])) == [("a", 3, True), ("b", 2, False)]
-    assert rows(current_state(spark, table, ["k"], ["seq"], F.col("gone")), "k") == [("b",)]
-
-
 def test_jobs_run_twice_and_match_the_batch_plans(spark, place):
     t = Layers(spark, "/root/testdata/sf0.001")
     raw, out = place("raw"), place("out")
