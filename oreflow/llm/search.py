@@ -57,15 +57,15 @@ def _scores(x: np.ndarray, q: np.ndarray, fits: bool) -> np.ndarray:
     return np.array([min(max(s, _LEAST), -_LEAST - 1) for s in sums], np.int64)
 
 
-def _best(q, bounds, gap, exact, first, keep, fits):
+def _best(q, bounds, lower, exact, first, keep, fits):
     """Places and scores of one query's ``keep`` best classes, ties to the smaller first id.
 
-    ``bounds`` are upper bounds and ``bounds - gap`` lower ones. The ``keep``-th lower bound rules
+    ``bounds`` are upper bounds and ``lower`` lower ones. The ``keep``-th lower bound rules
     cells out; the others' exact vectors are read in the order of their bounds, until the
     ``keep``-th score is above the next bound.
     """
     n = len(bounds)
-    least = np.partition(bounds, n - keep)[n - keep] - gap if n > keep else -np.inf
+    least = np.partition(lower, n - keep)[n - keep] if n > keep else -np.inf
     left = np.flatnonzero(bounds >= least)
     left = left[np.argsort(-bounds[left], kind="stable")]
     seen, scores = left[:0], np.zeros(0, np.int64)
@@ -108,8 +108,11 @@ def _searched(keep: int):
             bounds = part @ edges.T + (up + slack)[:, None]
             for i in range(len(part)):
                 q = wanted[at + i]
-                spread = gap[i] + (0 if fits else 2 * slack[i])
-                places, scores = _best(q, bounds[i], spread, exact, first, keep, fits)
+                lower = bounds[i] - gap[i]
+                if not fits:  # bounds of what the scores are cut to
+                    lower = np.clip(lower - 2 * slack[i], _LEAST, -_LEAST)
+                    bounds[i] = np.clip(bounds[i], _LEAST, -_LEAST)
+                places, scores = _best(q, bounds[i], lower, exact, first, keep, fits)
                 found.append((np.full(len(places), asked[at + i]), ids[places], scores))
         columns = [np.concatenate(c) for c in zip(*found, strict=True)]
         return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
