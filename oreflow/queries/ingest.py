@@ -178,6 +178,29 @@ def _evolution(t: Layers):
     return bronze.groupBy("o_orderstatus").agg(F.count("*").alias("rows"))
 
 
+def _evolution_csv(t: Layers):
+    """CSV files whose columns change: another order, then one more and one less, at each start."""
+    source, sink, checkpoint = _places(t, "evolve-csv")
+    saved = scratch_dir(t.spark, "schema")
+    third = bucket(F.concat(F.col("o_orderkey").cast("string"), F.lit("third")), 3)
+    orders = materialise(_order_rows(t).withColumn("third", third), "orders")
+    landings = (
+        ["o_orderkey", "o_orderstatus"],
+        ["o_orderstatus", "o_orderkey"],
+        ["o_totalprice", "day", "o_orderkey"],
+    )
+    for part, columns in enumerate(landings):
+        rows = orders.filter(F.col("third") == part).select(*columns)
+        rows.write.option("header", True).csv(f"{source}/landing {part}")
+        try:
+            schema = schemas.evolve(t.spark, source, "csv", saved)
+        except schemas.SchemaChanged:
+            schema = schemas.evolve(t.spark, source, "csv", saved)
+        drain(t.spark, source, schema, sink, checkpoint, "csv")
+    bronze = t.spark.read.schema(schema.add(RESCUED, "string")).parquet(sink)
+    return bronze.select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"), "day", RESCUED)
+
+
 def _widening(t: Layers):
     """``size`` starts as an int and later needs a long; both batches stay readable."""
     source, saved = scratch_dir(t.spark, "widen"), scratch_dir(t.spark, "schema")
@@ -187,7 +210,7 @@ def _widening(t: Layers):
     large = small.withColumn("size", F.col("size").cast("bigint") * 10_000_000_000)
     large.write.option("header", True).csv(f"{source}/late")
     schema = schemas.evolve(t.spark, source, "csv", saved, schemas.ADD_NEW_WIDEN)
-    both = files.with_provenance(files.scan_csv(t.spark, source, schema, recursive=True))
+    both = files.scan_csv(t.spark, source, schema, recursive=True, provenance=True)
     return both.groupBy(_folder()).agg(F.count("*").alias("rows"), F.sum("size").alias("total"), F.max("size").alias("largest"))
 
 
@@ -404,6 +427,7 @@ QUERIES = {
     "ingest_rescued_csv": query(_rescued_csv),
     "schema_evolution_rescue": query(_evolution_rescue),
     "schema_evolution": query(_evolution),
+    "schema_evolution_csv": query(_evolution_csv),
     "type_widening": query(_widening),
     "ingest_incremental": query(_incremental_totals),
     "distinct_files": query(_distinct_files),
@@ -475,6 +499,12 @@ SQL = {
     "schema_evolution": sql(
         f"""select case {_HALF} when 1 then o_orderstatus end as o_orderstatus, count(*) as rows from orders group by 1"""
     ),
+    "schema_evolution_csv": sql(
+        f"""select o_orderkey, case when third < 2 then o_orderstatus end as o_orderstatus,
+        case when third = 2 then o_totalprice::decimal(18,2)::double end as o_totalprice,
+        case when third = 2 then o_orderdate::date end as day, null::varchar as _rescued_data
+        from (select *, {q_bucket("concat(o_orderkey, 'third')", 3)} as third from orders)"""
+    ),
     "type_widening": sql(
         """select 'initial' as batch, count(*) as rows, sum(p_size)::bigint as total, max(p_size)::bigint as largest from part
         union all select 'late', count(*), sum(p_size::bigint * 10000000000)::bigint, max(p_size::bigint * 10000000000)

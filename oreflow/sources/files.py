@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow.functions.text import file_name
+from oreflow.sources.headers import FILE, lines_options, listed_files, read_headers, split_lines, typed_by_name
 
 INGESTED_AT = "_ingested_at"
 SOURCE_FILE = "_source_file"
@@ -17,39 +17,23 @@ def as_struct(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def csv_header(spark: SparkSession, path: str, schema: T.StructType, recursive: bool = True) -> T.StructType:
-    """Text columns in the order of the files' header; the schema's columns while there is no file."""
-    try:
-        reader = spark.read.option("header", True).option("recursiveFileLookup", recursive)
-        names = reader.csv(path).columns
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        names = []
-    return T.StructType([T.StructField(n, T.StringType()) for n in names or schema.fieldNames()])
-
-
 def scan_json(spark: SparkSession, path: str, schema: T.StructType | str, recursive: bool = False) -> DataFrame:
     return spark.read.schema(schema).option("recursiveFileLookup", recursive).json(path)
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str, recursive: bool = False) -> DataFrame:
-    """CSV with a header line, matched to the schema by name.
+def scan_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str, recursive: bool = False, provenance: bool = False
+) -> DataFrame:
+    """CSV with header lines, matched to the schema by name, file by file.
 
-    A value that doesn't fit, or a column that the header lacks, is NULL. A file whose header
-    differs from the others' stops the read, for its values could not be told apart.
-    (A path in SQL, ``csv.`dir```, takes the header for a data row.)
+    Files may have their columns in any order, lack some and have others. A value that doesn't fit,
+    or a column that a file lacks, is NULL. (A path in SQL, ``csv.`dir```, takes the header for a
+    data row.) ``provenance`` adds the columns of ``with_provenance``.
     """
-    wanted = as_struct(schema)
-    texts = csv_header(spark, path, wanted, recursive)
-    reader = spark.read.schema(texts).option("header", True).option("enforceSchema", False)
-    rows = reader.option("recursiveFileLookup", recursive).csv(path)
-    return rows.select(
-        *[
-            (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in texts.names else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in wanted.fields
-        ]
-    )
+    headers = read_headers(spark, listed_files(spark, path, recursive))
+    lines = with_provenance(lines_options(spark.read).option("recursiveFileLookup", recursive).load(path))
+    rows = split_lines(lines.withColumn(FILE, F.col(SOURCE_FILE)), headers)
+    return typed_by_name(rows, as_struct(schema), None, [INGESTED_AT, SOURCE_FILE] if provenance else [])
 
 
 def sql_on_files(spark: SparkSession, fmt: str, path: str) -> DataFrame:

@@ -4,14 +4,23 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreflow.sources.files import INGESTED_AT, SOURCE_FILE, as_struct, csv_header, with_provenance
-from oreflow.sources.rescue import parse_with_rescue, type_with_rescue
+from oreflow.sources.files import INGESTED_AT, SOURCE_FILE, as_struct, with_provenance
+from oreflow.sources.headers import (
+    FILE,
+    lines_options,
+    listed_files,
+    read_headers,
+    remembered_headers,
+    split_lines,
+    typed_by_name,
+)
+from oreflow.sources.rescue import RESCUED, parse_with_rescue
 
-
-BROKEN = "_broken_line"
 MAX_FILES = 1_000  # per micro-batch, so that a first drain isn't one batch of the whole folder
+CSV_LINES = "csv lines"
 
 
 def file_stream(
@@ -22,41 +31,51 @@ def file_stream(
     recursive: bool = True,
     archive_to: str | None = None,
     max_files: int = MAX_FILES,
-    broken: str | None = None,
 ) -> DataFrame:
     """A stream over a folder. Hidden names are skipped; sub-folders count when ``recursive``.
 
     ``archive_to`` moves files away once their batch is committed. CSV headers are compared with
-    the schema's names, and a file that differs stops the stream. ``broken`` names a text column of
-    the schema that gets the line of a CSV row with more or fewer values than the header.
+    the schema's names, and a file that differs stops the stream; ``CSV_LINES`` gives the lines
+    below each header as they are.
     """
-    reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", recursive)
+    if fmt == CSV_LINES:
+        reader = lines_options(spark.readStream)
+    else:
+        reader = spark.readStream.format(fmt).schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
-        if broken is not None:
-            reader = reader.option("columnNameOfCorruptRecord", broken)
     if archive_to is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_to)
-    return reader.option("maxFilesPerTrigger", max_files).load(source)
+    return reader.option("recursiveFileLookup", recursive).option("maxFilesPerTrigger", max_files).load(source)
 
 
 def rescued_stream(
-    spark: SparkSession, source: str, schema: T.StructType | str, fmt: str = "json", **options
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType | str,
+    fmt: str = "json",
+    headers: str | None = None,
+    **options,
 ) -> DataFrame:
-    """A JSON-lines or CSV stream with provenance that keeps unknown, misfit and broken fields."""
+    """A JSON-lines or CSV stream with provenance that keeps unknown, misfit and broken fields.
+
+    Every CSV file goes by its own header. ``headers`` is a folder beside the checkpoint that
+    remembers the headers read so far, so that each run opens new files only.
+    """
     wanted = as_struct(schema)
     if fmt == "json":
         lines = file_stream(spark, source, "value string", "text", **options)
         return parse_with_rescue(with_provenance(lines), wanted)
     if fmt != "csv":
         raise ValueError(f"no rescue for {fmt}: its files carry their own types")
-    texts = csv_header(spark, source, wanted, options.get("recursive", True))
-    broken = BROKEN
-    while broken in map(str.lower, [*texts.names, *wanted.names]):
-        broken += "_"
-    texts = T.StructType([*texts.fields, T.StructField(broken, T.StringType())])
-    rows = with_provenance(file_stream(spark, source, texts, "csv", broken=broken, **options))
-    return type_with_rescue(rows, wanted, [INGESTED_AT, SOURCE_FILE], broken)
+    recursive = options.get("recursive", True)
+    if headers is None:
+        known = read_headers(spark, listed_files(spark, source, recursive))
+    else:
+        known = remembered_headers(spark, source, headers, recursive)
+    lines = with_provenance(file_stream(spark, source, "", CSV_LINES, **options))
+    rows = split_lines(lines.withColumn(FILE, F.col(SOURCE_FILE)), known)
+    return typed_by_name(rows, wanted, RESCUED, [INGESTED_AT, SOURCE_FILE])
 
 
 def drain_to(stream: DataFrame, sink: str, checkpoint: str) -> None:
@@ -91,7 +110,8 @@ def drain(
     result is read under the stream's schema, so an empty folder gives an empty frame.
     """
     if rescue and fmt in ("json", "csv"):
-        stream = rescued_stream(spark, source, schema, fmt, **options)
+        headers = f"{checkpoint}-headers" if fmt == "csv" else None
+        stream = rescued_stream(spark, source, schema, fmt, headers=headers, **options)
     else:
         stream = with_provenance(file_stream(spark, source, schema, fmt, **options))
     drain_to(stream, sink, checkpoint)
