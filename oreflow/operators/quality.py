@@ -65,11 +65,15 @@ def measure_rules(df: DataFrame, rules: Sequence[Rule], dataset: str, keys: Sequ
     return summed.select(*keys, F.lit(dataset).alias("dataset"), F.inline(lines))
 
 
+def rule_counts(rules: Sequence[Rule]) -> list[Column]:
+    """Aggregates for ``observe``: rows, and failures per rule, as a side result of the job that writes."""
+    failed = [F.count_if(~rule.passed()).alias(f"failed_{rule.name}") for rule in rules]
+    return [F.count(F.lit(1)).alias("rows"), *failed]
+
+
 def observe_rules(df: DataFrame, rules: Sequence[Rule], observation: Observation) -> DataFrame:
-    """Count rule failures as a side result of the job that writes the frame."""
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    metrics += [F.count_if(~rule.passed()).alias(f"failed_{rule.name}") for rule in rules]
-    return df.observe(observation, *metrics)
+    """Count rule failures while the frame is written."""
+    return df.observe(observation, *rule_counts(rules))
 
 
 def check_rows(df: DataFrame, values: dict[str, Column], checks: Sequence[tuple[str, str, Column]]) -> DataFrame:

@@ -6,6 +6,7 @@ layer is a parquet table under ``out``, read back by the next step.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from oreflow.functions.calendar import day_of
 from oreflow.operators.quality import gate
 from oreflow.plans import fraud, sales, validation
 from oreflow.sources.files import overwrite_table
+from oreflow.streaming.gold import refresh_days
 from oreflow.streaming.ingest import drain, file_stream
 from oreflow.streaming.silver import run_silver
 
@@ -38,6 +40,16 @@ def _gold(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _gold_days(
+    spark: SparkSession, at: Places, silver: str, name: str, summarise: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """A gold table per day, computed again for the days of the new silver rows only."""
+    path = at.table(silver)
+    rows = file_stream(spark, path, spark.read.parquet(path).schema, "parquet", recursive=False)
+    refresh_days(spark, rows, summarise, path, at.table(name), at.checkpoint(name))
+    return spark.read.parquet(at.table(name))
+
+
 def _dimension(spark: SparkSession, at: Places, name: str, raw: str, schemas: dict[str, T.StructType]) -> DataFrame:
     """New CSV files of a dimension into its bronze table; the job uses the schema's columns."""
     bronze = drain(spark, raw, schemas[name], at.table(f"bronze_{name}"), at.checkpoint(f"bronze_{name}"), "csv")
@@ -66,9 +78,10 @@ def run_sales_job(
         at.table("quality_log"),
         at.checkpoint("silver_sales"),
         "silver_sales",
+        partition=("day", day_of(F.col("sold_at"))),
     )
+    daily = _gold_days(spark, at, "silver_sales", "gold_daily_sales", sales.gold_daily_sales)
     silver = spark.read.parquet(at.table("silver_sales"))
-    daily = _gold(spark, sales.gold_daily_sales(silver), at.table("gold_daily_sales"))
     _gold(spark, sales.gold_product_sales(silver), at.table("gold_product_sales"))
     as_of = F.lit(silver.agg(F.max(day_of(F.col("sold_at")))).first()[0])
     status = sales.inventory_status(inventory, sales.recent_demand(silver, as_of), products)
@@ -92,8 +105,9 @@ def run_fraud_job(
         at.table("quality_log"),
         at.checkpoint("silver_tx"),
         "silver_transactions",
+        partition=("day", day_of(F.col("occurred_at"))),
     )
+    risk = _gold_days(spark, at, "silver_tx", "gold_daily_risk", fraud.gold_daily_risk)
     silver = spark.read.parquet(at.table("silver_tx"))
-    risk = _gold(spark, fraud.gold_daily_risk(silver), at.table("gold_daily_risk"))
     _gold(spark, fraud.category_means(silver), at.table("category_means"))
     return gate(validation.validate_fraud(risk))

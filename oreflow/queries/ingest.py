@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow.functions.buckets import bucket
+from oreflow.functions.calendar import day_of
 from oreflow.operators.cdc import scd1, scd2
 from oreflow.operators.splits import recency_split
 from oreflow.plans.fraud import SILVER_COLUMNS, TX_RULES, gold_daily_risk, refine_transactions
@@ -18,6 +19,7 @@ from oreflow.sources import files, schemas
 from oreflow.sources.files import SOURCE_FILE
 from oreflow.sources.rescue import RESCUED, parse_with_rescue
 from oreflow.streaming.changes import current_state, history, run_scd1, run_scd2
+from oreflow.streaming.gold import refresh_days
 from oreflow.streaming.ingest import drain, file_stream
 from oreflow.streaming.silver import run_silver
 
@@ -330,18 +332,17 @@ def _evolution_rescue(t: Layers):
 # -- streaming silver ----------------------------------------------------------------------------
 
 
-def _stream_silver(t: Layers) -> str:
-    """Bronze holds every transaction twice; the stream keeps one. Two drains, then silver."""
+def _stream_silver(t: Layers, after=None) -> str:
+    """Bronze holds every transaction twice; the stream keeps one. ``after`` follows each drain."""
     bronze, silver, checkpoint = _places(t, "silver")
     metrics = scratch_dir(t.spark, "metrics")
     raw = materialise(t.labelled_transactions(), "labelled")
     customers = t.customers()
-    schema = raw.schema
-    for _ in range(2):
-        raw.write.mode("append").parquet(bronze)
-        stream = file_stream(t.spark, bronze, schema, "parquet", recursive=False)
+    first, second = _halves(raw, "tx_id") if after else (raw, raw)
+    for part in (first, second, first) if after else (first, second):
+        part.write.mode("append").parquet(bronze)
         run_silver(
-            stream,
+            file_stream(t.spark, bronze, raw.schema, "parquet", recursive=False),
             lambda s: refine_transactions(s, customers),
             TX_RULES,
             ["tx_id"],
@@ -349,7 +350,10 @@ def _stream_silver(t: Layers) -> str:
             metrics,
             checkpoint,
             "silver_transactions",
+            partition=("day", day_of(F.col("occurred_at"))) if after else None,
         )
+        if after:
+            after(silver)
     return silver
 
 
@@ -357,6 +361,18 @@ def _silver_stream(t: Layers):
     return t.spark.read.parquet(_stream_silver(t)).select(*SILVER_COLUMNS)
 
 
+def _gold_refresh_days(t: Layers):
+    """Two halves of the transactions and a repeated one: after each drain, gold of the touched days."""
+    gold, checkpoint = scratch_dir(t.spark, "gold"), scratch_dir(t.spark, "checkpoint")
+
+    def refresh(silver: str) -> None:
+        new = file_stream(t.spark, silver, t.spark.read.parquet(silver).schema, "parquet", recursive=False)
+        refresh_days(t.spark, new, gold_daily_risk, silver, gold, checkpoint)
+
+    _stream_silver(t, refresh)
+    return t.spark.read.parquet(gold)
+
+
 def _gold_refresh(t: Layers):
     gold = scratch_dir(t.spark, "gold")
     files.overwrite_table(gold_daily_risk(t.spark.read.parquet(_stream_silver(t))), gold)
@@ -437,6 +453,7 @@ QUERIES = {
     "archive_processed": query(_archive),
     "silver_stream": query(_silver_stream),
     "gold_refresh": query(_gold_refresh),
+    "gold_refresh_days": query(_gold_refresh_days),
     "scd1": query(_scd1),
     "scd2": query(_scd2),
     "scd1_stream": query(_scd1_stream),
@@ -552,4 +569,5 @@ SQL = {
     ),
 }
 
+SQL["gold_refresh_days"] = SQL["gold_refresh"]
 SQL["scd1_stream"], SQL["scd2_stream"] = SQL["scd1"], SQL["scd2"]

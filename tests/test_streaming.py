@@ -163,8 +163,8 @@ def test_jobs_run_twice_and_match_the_batch_plans(spark, place):
     tx.filter("tx_id < 'TX5'").write.json(f"{raw}/tx/again")
     checks = run_fraud_job(spark, f"{raw}/tx", f"{raw}/customers", schemas, out)
     assert checks.filter("NOT ok").isEmpty()
-    gold = spark.read.parquet(f"{out}/tables/gold_daily_risk")
-    assert rows(gold) == rows(t.risk())
+    gold, want = spark.read.parquet(f"{out}/tables/gold_daily_risk"), t.risk()
+    assert rows(gold.select(*want.columns)) == rows(want)
 
 
 def test_sales_job_matches_the_batch_plan(spark, place):
