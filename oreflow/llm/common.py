@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +54,32 @@ def ascii_lower(text: Column) -> Column:
 
 def count_true(flags: Column) -> Column:
     return F.size(F.filter(flags, lambda x: x)).cast("bigint")
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    system, place = _folder(spark, path)
+    return system.getContentSummary(place).getLength()
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    system, place = _folder(spark, path)
+    system.delete(place, True)
+
+
+def slots_met(slots: DataFrame, bits: int) -> np.ndarray:
+    """Which of ``2 ** bits`` values occur in the column ``slot``: a bitmap, whatever the rows."""
+    place = F.col("slot") + 1  # bitmaps count from 1
+    found = slots.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    met = np.zeros(1 << bits, bool)
+    for r in found.collect():
+        block = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little").astype(bool)
+        met[(r["bucket"] - 1) * 32_768 :][: len(block)] = block
+    return met

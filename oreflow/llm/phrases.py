@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -12,19 +13,21 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import LOWER, UPPER, small_batches
+from oreflow.llm.common import LOWER, UPPER, drop_folder, folder_bytes, small_batches
 from oreflow.session import materialise, scratch_dir
 
 MOST_WORDS, LEAST, SHARDS, TOP = 4, 30, 3, 2_000
 HEAVY = 5  # a task's counts from here on are summed up for early activation
 SLOT_BITS = 23  # the stamps of a length are 8 megabytes, whatever the corpus
 UNSET = 255
-FLUSH_WORDS = 4_000_000
+FLUSH_BYTES = 12_000_000  # of a task's texts that are counted at once
+TASK_BYTES = 8_000_000  # of compressed texts, about what is counted at once
 _OUT_ROWS = 100_000
 _BOUNDARY = b"\xff"  # in no UTF-8 text
 _TABLE = bytes.maketrans(UPPER.encode() + b".,;:!?\n\x0b\x0c\r", LOWER.encode() + _BOUNDARY * 10)
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-PARTS = "k int, start int, lang string, phrase string, c bigint"
+# A phrase and its language in one text; words hold no tab.
+PARTS = "k int, start int, key string, c bigint"
 
 
 def _joined_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -43,92 +46,96 @@ def _word_hashes(words: list[bytes], lang: bytes) -> np.ndarray:
 
 
 class _Pieces:
-    """The words of one language in a task, as numbers; 0 stands between pieces."""
-
-    def __init__(self):
-        self.ids: dict[bytes, int] = {_BOUNDARY: 0}
-        self.parts: list[np.ndarray] = []
-
-    def add(self, text: bytes) -> int:
-        words = text.translate(_TABLE).replace(_BOUNDARY, b" \xff ").split()
-        ids = self.ids
-        found = [ids.setdefault(w, len(ids)) for w in words]
-        self.parts.append(np.array([*found, 0], np.int32))
-        return len(found)
-
-    def counted(self, lang: str, step: int, shards: int, stamps: dict[int, np.ndarray]) -> Iterator[tuple]:
+    """The words of one language in a task: numbers from 1, and 0 between pieces."""
+
+    def __init__(self, lang: str, texts: list[bytes]):
+        self.lang = lang
+        chars = np.frombuffer(_BOUNDARY.join(texts).translate(_TABLE), np.uint8)
+        gaps = (chars == 32) | (chars == 9) | (chars == _BOUNDARY[0])
+        edges = np.flatnonzero(np.diff(gaps, prepend=True, append=True)).astype(np.int32)
+        starts, sizes = edges[::2], edges[1::2] - edges[::2]
+        offsets = np.append(np.int32(0), np.cumsum(sizes, dtype=np.int32))
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(chars[~gaps])]
+        found = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
+        self.words = found.dictionary
+        piece = np.searchsorted(np.flatnonzero(chars == _BOUNDARY[0]).astype(np.int32), starts)
+        cuts = np.flatnonzero(np.diff(piece)) + 1
+        self.at = np.append(np.insert(found.indices.to_numpy() + 1, cuts, 0), 0).astype(np.int32)
+
+    def counted(self, step: int, shards: int, stamps: dict[int, np.ndarray]) -> Iterator[tuple]:
         """``k, start, columns of word numbers, counts`` of all phrases whose cycle is running.
 
         A phrase starts in the step after the last of its parts was stamped, and runs for as many
         steps as there are shards. Stamps never change, so every step agrees on a phrase's start.
         """
-        at = np.concatenate(self.parts)
+        at = self.at
         if step < shards:
-            counts = np.bincount(at, minlength=len(self.ids))
-            words = np.flatnonzero(counts[1:]) + 1
-            yield 1, 0, [words], counts[words]
-        if 1 not in stamps:
+            yield 1, 0, [np.arange(1, len(self.words) + 1)], np.bincount(at)[1:]
+        if 1 not in stamps or not len(self.words):
             return
-        hashes = _word_hashes(list(self.ids), lang.encode())
+        hashes = np.append(np.uint64(0), _word_hashes(self.words.to_pylist(), self.lang.encode()))
         of_word = stamps[1][_slot(hashes)]
         of_word[0] = UNSET
-        # ``since[i]``: when the phrase of k words at ``first[i]`` was complete in stamped parts.
-        first, since, h = np.arange(len(at)), of_word[at], hashes[at]
-        group = at.astype(np.int64)
+        # ``since``: the step in which a phrase's last part was stamped. Of k words, at places ``first``.
+        first, since, h = np.arange(len(at), dtype=np.int32), of_word[at], hashes[at]
         for k in range(2, MOST_WORDS + 1):
             # Phrases of k - 1 words at neighbouring places make one of k words.
-            live = np.flatnonzero(since != UNSET)
-            live = live[:-1][(first[live[1:]] - first[live[:-1]]) == 1] if len(live) else live
-            follow = live + 1
-            since_k = np.maximum(since[live], since[follow])
-            first_k = first[live]
-            last = at[first_k + k - 1]
-            pair = group[live] * len(self.ids) + last
+            live = np.flatnonzero(since != UNSET).astype(np.int32)
+            live = live[:-1][first[live[1:]] - first[live[:-1]] == 1]
+            since_k, first_k = np.maximum(since[live], since[live + 1]), first[live]
             running = (since_k < step) & (since_k + shards >= step)
             if running.any():
-                keys, places, counts = np.unique(pair[running], return_index=True, return_counts=True)
-                begin, starts = first_k[running][places], since_k[running][places].astype(np.int64) + 1
-                for start in np.unique(starts).tolist():
-                    of = starts == start
-                    yield k, start, [at[begin[of] + j] for j in range(k)], counts[of]
+                begin, marks = first_k[running], since_k[running]
+                for mark in np.flatnonzero(np.bincount(marks)).tolist():
+                    yield k, mark + 1, *self._distinct(at, begin[marks == mark], k)
             if k == MOST_WORDS or k not in stamps:
                 return
-            h = _joined_hash(h[live], hashes[last])
+            h = _joined_hash(h[live], hashes[at[first_k + k - 1]])
             first, since = first_k, np.maximum(since_k, stamps[k][_slot(h)])
-            # Small numbers for the phrases met here, so that the next pair fits 64 bits.
-            group = np.unique(pair, return_inverse=True)[1]
+
+    def _distinct(self, at: np.ndarray, begin: np.ndarray, k: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """The distinct phrases of k words that begin at these places, and how often each does."""
+        key, size = at[begin].astype(np.int64), len(self.words) + 1
+        most = size
+        for j in range(1, k):
+            if most * size >= 2**63:
+                key = np.unique(key, return_inverse=True)[1]
+                most = len(begin)
+            key, most = key * size + at[begin + j], most * size
+        _, places, counts = np.unique(key, return_index=True, return_counts=True)
+        return [at[begin[places] + j] for j in range(k)], counts
 
 
 def _count_shard(step: int, shards: int, stamps):
-    names = ["k", "start", "lang", "phrase", "c"]
-    kinds = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64()]
+    names = ["k", "start", "key", "c"]
 
-    def flush(pieces: dict[str, _Pieces]) -> Iterator[pa.RecordBatch]:
-        for lang, of_lang in pieces.items():
-            words = pa.array(list(of_lang.ids), pa.binary())
-            for k, start, columns, counts in of_lang.counted(lang, step, shards, stamps.value):
+    def flush(texts: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
+        for lang, of_lang in texts.items():
+            pieces = _Pieces(lang, of_lang)
+            end = pa.scalar(f"\t{lang}".encode(), pa.binary())
+            for k, start, columns, counts in pieces.counted(step, shards, stamps.value):
                 for at in range(0, len(counts), _OUT_ROWS):
                     n = len(counts[at : at + _OUT_ROWS])
-                    parts = [words.take(pa.array(c[at : at + n])) for c in columns]
-                    phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())) if k > 1 else parts[0]
+                    words = [pieces.words.take(pa.array(c[at : at + n] - 1)) for c in columns]
+                    phrase = reduce(lambda a, b: pc.binary_join_element_wise(a, b, pa.scalar(b" ", pa.binary())), words)
                     arrays = [
                         pa.array(np.full(n, k, np.int32)),
                         pa.array(np.full(n, start, np.int32)),
-                        pa.array([lang] * n, pa.string()),
-                        phrase.cast(pa.string()),
+                        pc.binary_join_element_wise(phrase, end, pa.scalar(b"", pa.binary())).cast(pa.string()),
                         pa.array(counts[at : at + n].astype(np.int64)),
                     ]
-                    yield pa.RecordBatch.from_arrays([a.cast(t) for a, t in zip(arrays, kinds, strict=True)], names=names)
+                    yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, size = {}, 0
+        texts, size = {}, 0
         for batch in batches:
-            for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
-                size += pieces.setdefault(lang.as_py(), _Pieces()).add(text.as_py())
-                if size >= FLUSH_WORDS:
-                    yield from flush(pieces)
-                    pieces, size = {}, 0
-        yield from flush(pieces)
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                texts.setdefault(lang, []).append(text)
+                size += len(text)
+                if size >= FLUSH_BYTES:
+                    yield from flush(texts)
+                    texts, size = {}, 0
+        yield from flush(texts)
 
     return run
 
@@ -136,7 +143,8 @@ def _count_shard(step: int, shards: int, stamps):
 def _slots_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         slots = []
-        for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True):
+        for key in batch.column("key").to_pylist():
+            phrase, _, lang = key.partition("\t")
             hashes = _word_hashes(phrase.encode().split(b" "), lang.encode())
             slots.append(int(_slot(reduce(_joined_hash, [hashes[i : i + 1] for i in range(len(hashes))]))[0]))
         yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(slots, pa.int64())], names=["k", "slot"])
@@ -144,7 +152,7 @@ def _slots_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _reached_slots(reached: DataFrame) -> dict[int, np.ndarray]:
     """The slots of phrases, as bitmaps: at most a megabyte for each length."""
-    slots = reached.select("k", "lang", "phrase").mapInArrow(_slots_of, "k int, slot bigint")
+    slots = reached.select("k", "key").mapInArrow(_slots_of, "k int, slot bigint")
     place = F.col("slot") + 1  # bitmaps count from 1
     bits = slots.groupBy("k", F.bitmap_bucket_number(place).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
@@ -180,7 +188,10 @@ def frequent_phrases(
     )
     rows.write.partitionBy("shard").parquet(corpus)
     whole = spark.read.schema("lang string, text binary, shard int").parquet(corpus)
+    # Where a shard's files are small, a task takes several: it sends each of its phrases once.
+    tasks = math.ceil((folder_bytes(spark, corpus) / shards + 1) / TASK_BYTES)
     stamps: dict[int, np.ndarray] = {}
+    lang_of = F.expr("substring(key, instr(key, '\t') + 1)").alias("lang")
     done, step, last = [], 0, shards - 1
 
     def counted(steps: range) -> DataFrame:
@@ -188,33 +199,39 @@ def frequent_phrases(
 
     while step <= last:
         known = spark.sparkContext.broadcast(stamps)
-        shard = whole.filter(F.col("shard") == step % shards).select("lang", "text")
+        shard = whole.filter(F.col("shard") == step % shards).select("lang", "text").coalesce(tasks)
         shard.mapInArrow(_count_shard(step, shards, known), PARTS).write.partitionBy("k", "start").parquet(f"{counts}/step={step}")
         known.destroy()
         ending = step - shards + 1
         parts = counted(range(max(0, ending), step + 1))
-        names = ["k", "start", "lang", "phrase"]
         early = (
             parts.filter((F.col("c") >= HEAVY) & (F.col("k") < MOST_WORDS) & (F.col("start") > ending))
-            .groupBy(*names)
+            .groupBy("k", "key")
             .agg(F.sum("c").alias("f"))
             .filter(F.col("f") >= least)
-            .select("k", "lang", "phrase")
+            .select("k", "key")
         )
         if ending >= 0:
-            finished = parts.filter(F.col("start") == ending).groupBy("k", "lang", "phrase").agg(F.sum("c").alias("f"))
+            finished = parts.filter(F.col("start") == ending).groupBy("key").agg(F.sum("c").alias("f"))
             finished.filter(F.col("f") >= least).write.parquet(f"{ended}/step={step}")
-            done.append(spark.read.schema("k int, lang string, phrase string, f bigint").parquet(f"{ended}/step={step}"))
-            early = early.unionByName(done[-1].filter(F.col("k") < MOST_WORDS).select("k", "lang", "phrase"))
+            words = F.size(F.split(F.split_part("key", F.lit("\t"), F.lit(1)), " "))
+            done.append(spark.read.schema("key string, f bigint").parquet(f"{ended}/step={step}").withColumn("k", words))
+            early = early.unionByName(done[-1].filter(F.col("k") < MOST_WORDS).select("k", "key"))
         for k, slots in _reached_slots(early).items():
             of_length = stamps.setdefault(k, np.full(1 << SLOT_BITS, UNSET, np.uint8))
             fresh = slots[of_length[slots] == UNSET]
             of_length[fresh] = step
             if len(fresh):
                 last = max(last, step + shards)
+        if step == shards - 1:
+            totals = parts.filter("k = 1").groupBy(lang_of).agg(F.sum("c").alias("n"))
+            totals = materialise(totals, "phrase-totals")
+        if ending >= 0:  # no cycle needs its counts any more
+            drop_folder(spark, f"{counts}/step={ending}")
         step += 1
-    totals = counted(range(shards)).filter("k = 1").groupBy("lang").agg(F.sum("c").alias("n"))
-    return reduce(DataFrame.unionByName, done), materialise(totals, "phrase-totals")
+    found = reduce(DataFrame.unionByName, done)
+    found = found.select(lang_of, "k", F.split_part("key", F.lit("\t"), F.lit(1)).alias("phrase"), "f")
+    return found, totals
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, text: str = "text", lang: str = "lang") -> DataFrame:
