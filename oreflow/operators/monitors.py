@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 HISTORY = 28
 MIN_HISTORY = 7
+WEEKS, MIN_WEEKS = 8, 3
 
 
 def daily_counts(df: DataFrame, day: Column, series: Sequence[str]) -> DataFrame:
@@ -48,6 +49,46 @@ def completeness(counts: DataFrame, series: Sequence[str], history: int = HISTOR
     )
 
 
+def every_day(counts: DataFrame, series: Sequence[str]) -> DataFrame:
+    """A row for every day between a series' first and last one; days without rows count zero."""
+    spans = counts.groupBy(*series).agg(F.min("day").alias("_from"), F.max("day").alias("_to"))
+    days = spans.select(*series, F.explode(F.sequence("_from", "_to", F.expr("interval 1 day"))).alias("day"))
+    known = counts.select(*[F.col(c).alias(f"_{c}") for c in series], F.col("day").alias("_day"), "rows")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in series]
+    filled = days.join(known, [*same, F.col("day") == F.col("_day")], "left")
+    return filled.select(*series, "day", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"))
+
+
+def _middle(ordered: Column) -> Column:
+    """The median of a sorted array; NULL for an empty one."""
+    n = F.size(ordered)
+    low, high = F.floor((n - 1) / 2).cast("int"), F.floor(n / 2).cast("int")
+    return (F.get(ordered, low) + F.get(ordered, high)).cast("double") / 2
+
+
+def weekly_completeness(
+    counts: DataFrame, series: Sequence[str], weeks: int = WEEKS, width: float = 3.0, floor: float = 0.1
+) -> DataFrame:
+    """Days that are unlike the same weekday of the trailing weeks, missing days among them.
+
+    Expected is the median of the last ``weeks`` equal weekdays, and the spread their median
+    deviation (times 1.4826, as for a normal spread), but ``floor`` of the expected at least. A busy
+    Friday raises no alarm, a Monday without rows does, and neither moves the baseline as a mean
+    would. The frame is one row per (series, day), so a window holds one series' weekday.
+    """
+    weekday = F.dayofweek("day")
+    w = Window.partitionBy(*series, weekday).orderBy("day").rowsBetween(-weeks, -1)
+    past = every_day(counts, series).withColumn("_past", F.array_sort(F.collect_list("rows").over(w)))
+    past = past.withColumn("expected", _middle(F.col("_past")))
+    away = F.array_sort(F.transform("_past", lambda x: F.abs(x - F.col("expected"))))
+    spread = F.greatest(_middle(away) * F.lit(1.4826), F.col("expected") * F.lit(floor))
+    off = F.abs(F.col("rows") - F.col("expected")) > F.lit(width) * F.col("spread")
+    judged = past.withColumn("spread", spread).withColumn(
+        "anomaly", F.coalesce((F.size("_past") >= MIN_WEEKS) & off, F.lit(False))
+    )
+    return judged.drop("_past")
+
+
 def null_rates(df: DataFrame, day: Column, columns: Sequence[str]) -> DataFrame:
     """Rows (day, column_name, nulls, rows) from one aggregate pass over the table."""
     summed = df.groupBy(day.alias("day")).agg(

@@ -115,6 +115,11 @@ def future_only(forecast: DataFrame, history: DataFrame) -> DataFrame:
     return forecast.filter(F.col("day") > history.agg(F.max("day")).scalar())
 
 
+def country_forecast(forecast: DataFrame, country: str) -> DataFrame:
+    """The forecast days of one country in order; the filter reaches the forecast's own scan."""
+    return forecast.filter(F.col("country") == country).drop("country").orderBy("day")
+
+
 def forecast_by_country(forecast: DataFrame) -> DataFrame:
     return (
         forecast.groupBy("country")

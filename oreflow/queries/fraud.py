@@ -8,6 +8,7 @@ from oreflow.functions.bands import age_band, risk_band
 from oreflow.functions.money import cents
 from oreflow.operators.metrics import auc, lift
 from oreflow.operators.ordered import extreme_share, exact_quantile
+from oreflow.operators.sketches import merged_sketches, quantile_sketches, rank_error, with_quantiles
 from oreflow.operators.splits import stratified_split
 from oreflow.plans import fraud as fr
 from oreflow.plans import fraud_reports as rp
@@ -25,6 +26,8 @@ _TX = (
     "occurred_at, is_fraud, segment, tenure_months, credit_score"
 )
 
+SPLIT_DAY = "2024-01-16"
+
 
 def _features(t: Layers):
     silver = t.stored_silver_tx()
@@ -52,6 +55,37 @@ def _deviation(t: Layers):
     )
 
 
+QUANTILES = (0.5, 0.9, 0.985)
+
+
+def _sketched(t: Layers):
+    """Quantiles of the amount per category, from daily sketches merged over all days and over one year.
+
+    The rows of each quantile's value are counted, and must lie within the sketch's rank error.
+    """
+    tx = t.transactions().select(
+        "merchant_category", F.substring("occurred_at", 1, 10).cast("date").alias("day"), cents(F.col("amount")).alias("c")
+    )
+    tx = materialise(tx, "amounts")
+    daily = materialise(quantile_sketches(tx, "c", ["merchant_category", "day"]), "sketches")
+    out = None
+    for span, kept in (("all", F.lit(True)), ("first", F.col("day") < F.lit(SPLIT_DAY))):
+        found = with_quantiles(merged_sketches(daily.filter(kept), ["merchant_category"]), QUANTILES)
+        rows = tx.filter(kept).join(F.broadcast(found), "merchant_category")
+        ranks = rows.groupBy("merchant_category", "n", "p").agg(
+            F.count("c").alias("rows"),
+            (F.count_if(F.col("c") < F.col("value")) / F.count("c")).alias("below"),
+            (F.count_if(F.col("c") <= F.col("value")) / F.count("c")).alias("upto"),
+        )
+        error = rank_error()
+        within = (F.col("below") <= F.col("p") + error) & (F.col("upto") >= F.col("p") - error)
+        facts = ranks.select(
+            F.lit(span).alias("span"), "merchant_category", "p", "n", (F.col("n") == F.col("rows")).alias("whole"), within.alias("within")
+        )
+        out = facts if out is None else out.unionAll(facts)
+    return out
+
+
 def _progression(t: Layers):
     """AUC of the amount, of the amount over its category mean, and of the full rule score."""
     tx = materialise(t.labelled_transactions(), "labelled").join(t.customers().drop("region"), "customer_id", "left")
@@ -152,6 +186,7 @@ QUERIES = {
     "rule_risk_score": query(lambda t: t.scored_transactions().select("tx_id", "risk")),
     "risk_band": query(_risk_bands),
     "quantile_threshold": query(_threshold),
+    "quantile_sketch": query(_sketched),
     "quantile_label": query(lambda t: t.labelled_transactions().filter("is_fraud").select("tx_id", "risk", "is_fraud")),
     "signal_lift": query(_lift),
     "auc_exact": query(lambda t: auc(t.labelled_transactions().withColumn("_c", cents(F.col("value"))), "_c", F.col("is_fraud"))),
@@ -321,6 +356,13 @@ SQL = {
         from (select risk, risk::double / (risk::double + 5000000.0::double) as p from tx2) group by 1""",
         "tx2",
     ),
+    "quantile_sketch": sql(
+        f"""select span, merchant_category, unnest([0.5, 0.9, 0.985]::double[]) as p, n, true as whole, true as within
+        from (select 'all' as span, merchant_category, count(amount) as n from tx1 group by all
+            union all select 'first', merchant_category, count(amount) from tx1
+            where occurred_at[1:10]::date < date '{SPLIT_DAY}' group by all)""",
+        "tx1",
+    ),
     "quantile_threshold": sql(
         """select count(*) as rows, count_if(is_fraud)::bigint as above,
         (select round(quantile_cont(risk::double, 0.985), 4) from tx2) as threshold from tx""",

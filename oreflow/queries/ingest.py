@@ -16,6 +16,7 @@ from oreflow.queries.oracle import SALES_AS_OF, sql
 from oreflow.queries.oracle import bucket as q_bucket
 from oreflow.session import materialise, scratch_dir
 from oreflow.sources import files, schemas
+from oreflow.sources.catalog import dropped_after
 from oreflow.sources.files import SOURCE_FILE
 from oreflow.sources.rescue import RESCUED, parse_with_rescue
 from oreflow.streaming.changes import current_state, history, run_scd1, run_scd2
@@ -80,16 +81,18 @@ def _scan_table(t: Layers):
     path = scratch_dir(t.spark, "table")
     t.customer.write.parquet(path)
     name = f"oreflow_customer_{path[-8:]}"
-    t.spark.catalog.createTable(name, path=path, source="parquet")
-    return t.spark.table(name)
+    with dropped_after(t.spark, name):
+        t.spark.catalog.createTable(name, path=path, source="parquet")
+        return materialise(t.spark.table(name), "from-table")
 
 
 def _list_files(t: Layers):
+    """One file per status folder, and its bytes: those of its lines, with a line end each."""
     path = scratch_dir(t.spark, "list")
-    files.write_fanout(_order_rows(t), path, FILES)
-    return files.list_files(t.spark, path, ".json").agg(
-        F.count("*").alias("files"), F.min(F.col("bytes") > 0).alias("all_filled")
-    )
+    lines = t.orders.select("o_orderstatus", F.concat("o_orderkey", F.lit("-"), "o_orderpriority").alias("line"))
+    lines.repartition(FILES, "o_orderstatus").write.partitionBy("o_orderstatus").text(path)
+    found = files.list_files(t.spark, path, ".txt")
+    return found.select(F.regexp_extract("path", "o_orderstatus=(.)", 1).alias("folder"), "bytes")
 
 
 def _fanout(t: Layers):
@@ -481,7 +484,10 @@ SQL = {
         "select o_orderstatus, count(*) as rows, max(o_orderkey) as last_key from orders group by 1"
     ),
     "scan_table": sql("select * from customer"),
-    "list_source_files": sql(f"select {FILES} as files, true as all_filled from orders limit 1"),
+    "list_source_files": sql(
+        """select o_orderstatus as folder, sum(strlen(concat(o_orderkey, '-', o_orderpriority)) + 1)::bigint as bytes
+        from orders group by 1"""
+    ),
     "sink_fanout": sql(
         f"select {FILES} as files, count(*) as rows, sum(o_totalprice::decimal(18,2))::double as amount from orders"
     ),

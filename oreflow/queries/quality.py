@@ -84,6 +84,13 @@ def _completeness(t: Layers):
     )
 
 
+def _weekly(t: Layers):
+    counts = monitors.daily_counts(t.events, F.to_date("ts"), ["event_type"])
+    return monitors.weekly_completeness(counts, ["event_type"], weeks=6, width=2.0).select(
+        "event_type", "day", "rows", F.round("expected", 4).alias("expected"), F.round("spread", 4).alias("spread"), "anomaly"
+    )
+
+
 def _null_rates(t: Layers):
     tx = t.transactions().withColumn("day", F.to_date(F.substring("occurred_at", 1, 10)))
     rates = monitors.null_rates(tx, F.col("day"), ["device_id", "card_number", "amount"])
@@ -137,6 +144,7 @@ QUERIES = {
     "validate_retail": query(_validate_retail),
     "validate_fraud": query(lambda t: gate(validation.validate_fraud(t.risk()))),
     "completeness_anomaly": query(_completeness),
+    "weekly_completeness": query(_weekly),
     "null_rate_anomaly": query(_null_rates),
     "freshness_anomaly": query(_freshness),
 }
@@ -271,6 +279,19 @@ SQL = {
             from (select event_type, ts::date as day, count(*) as rows from events group by 1, 2)
             window w as (partition by event_type order by day rows between 14 preceding and 1 preceding))"""
     ),
+    "weekly_completeness": sql(
+        """select event_type, day, rows, round(expected, 4) as expected, round(spread, 4) as spread,
+        coalesce(len(past) >= 3 and abs(rows - expected) > 2.0 * spread, false) as anomaly
+        from (select *, greatest(list_median(list_transform(past, lambda x: abs(x - expected))) * 1.4826, expected * 0.1) as spread
+            from (select *, list_median(past) as expected
+                from (select *, list(rows) over (partition by event_type, dayofweek(day) order by day
+                        rows between 6 preceding and 1 preceding) as past
+                    from (select event_type, day::date as day, count(ts) as rows
+                        from (select event_type, unnest(generate_series(min(ts::date), max(ts::date), interval 1 day)) as day
+                            from events group by 1) c
+                        left join (select event_type as e, ts from events) x on e = event_type and ts::date = day::date
+                        group by 1, 2))))"""
+    ),
     "null_rate_anomaly": sql(
         """select day, column_name, rows, nulls, round(rate, 6) as null_rate, round(usual, 6) as usual_rate,
         coalesce(n >= 7 and abs(rate - usual) > 0.05, false) as anomaly

@@ -15,6 +15,8 @@ from oreflow.plans.sales import ratio
 from oreflow.queries.base import Layers, query
 from oreflow.queries.oracle import SALES_AS_OF, money, sql
 from oreflow.queries.oracle import ratio as q_ratio
+from oreflow.session import materialise, scratch_dir
+from oreflow.sources.catalog import dropped_after, publish_view, run_sql, save_table
 
 COUNTRY = "ASIA"
 _STATUS = "product_id, product_name, category, country, stock_now, stock_min, daily_demand, coverage_days, lead_time_days, needs_restock"
@@ -93,6 +95,36 @@ def _orphans(t: Layers):
     )
 
 
+def _forecast_days(t: Layers):
+    """The daily forecast of one country: its line in the dashboard."""
+    return fc.country_forecast(fc.seasonal_baseline(t.series()), COUNTRY)
+
+
+DASHBOARD = """
+    SELECT day, country, category, units, amount, profit, lines FROM {daily}
+    WHERE (:country IS NULL OR country = :country) AND (:category IS NULL OR category = :category)
+      AND day BETWEEN coalesce(:first, day) AND coalesce(:last, day)
+"""
+
+
+def _from_sql(t: Layers):
+    """The same as ``parameter_filter``, from a SQL text with parameter markers."""
+    return run_sql(
+        t.spark, DASHBOARD, {"daily": t.daily()}, country=COUNTRY, category=None, first=date(1996, 1, 1), last=date(1997, 12, 31)
+    )
+
+
+def _from_catalog(t: Layers):
+    """Gold as a managed table, a view over it, and a consumer's SQL on the view."""
+    suffix = scratch_dir(t.spark, "catalog")[-12:]
+    table, view = f"oreflow_daily_{suffix}", f"oreflow_top_{suffix}"
+    with dropped_after(t.spark, table, view):
+        save_table(t.daily(), table, comment="sales by day, country and category")
+        publish_view(t.spark, view, f"SELECT country, category, sum(amount) AS amount FROM {table} GROUP BY ALL")
+        best = run_sql(t.spark, f"SELECT * FROM {view} WHERE amount > :least", least=0)
+        return materialise(best, "from-catalog")
+
+
 QUERIES = {
     "gold_daily_sales": query(lambda t: t.daily()),
     "silver_sales": query(lambda t: t.silver()),
@@ -132,6 +164,8 @@ QUERIES = {
     "parameter_filter": query(
         lambda t: rp.filtered(t.daily(), country=COUNTRY, first=date(1996, 1, 1), last=date(1997, 12, 31))
     ),
+    "parameter_filter_sql": query(_from_sql),
+    "catalog_view": query(_from_catalog),
     "restock_counts": query(lambda t: rp.restock_counts(t.status())),
     "kpi_restock": query(lambda t: rp.kpi_restock(t.status(), COUNTRY)),
     "restock_list": query(lambda t: rp.restock_list(t.status(), COUNTRY)),
@@ -167,6 +201,7 @@ QUERIES = {
     "forecast_grid": query(lambda t: fc.forecast_grid(t.series())),
     "seasonal_baseline": query(_baseline),
     "forecast_by_country": query(lambda t: fc.forecast_by_country(_baseline(t))),
+    "forecast_country_days": query(_forecast_days),
     "history_union_forecast": query(_history_forecast),
     "actual_vs_forecast": query(_actual_vs),
     "future_only": query(_future_only),
@@ -384,6 +419,9 @@ SQL = {
     "seasonal_baseline": sql(
         "select day, country, amount_forecast, units_forecast from baseline", "series", **_BASELINE
     ),
+    "forecast_country_days": sql(
+        f"select day, amount_forecast, units_forecast from baseline where country = '{COUNTRY}'", "series", **_BASELINE
+    ),
     "forecast_by_country": sql(
         """select country, round(sum(amount_forecast::decimal(18,2))::double, 0) as amount_90d,
         round(sum(units_forecast::decimal(18,2))::double, 0) as units_90d from baseline group by 1 order by 2 desc, 1""",
@@ -422,3 +460,8 @@ SQL = {
         **_SPLIT,
     ),
 }
+
+SQL["parameter_filter_sql"] = SQL["parameter_filter"]
+SQL["catalog_view"] = sql(
+    "select country, category, sum(amount)::double as amount from daily group by all having sum(amount) > 0", "daily"
+)

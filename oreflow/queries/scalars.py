@@ -8,6 +8,7 @@ from oreflow.functions.buckets import bucket, flag_share, weighted_draw
 from oreflow.functions.calendar import calendar_columns, parse_timestamp
 from oreflow.functions.text import keep_last_four, padded_id, title_from_code
 from oreflow.plans.sales import ratio
+from oreflow.plans.season import seasonal_factors
 from oreflow.queries.base import Layers, query
 from oreflow.queries.oracle import bucket as q_bucket
 from oreflow.queries.oracle import ratio as q_ratio
@@ -72,6 +73,11 @@ def _season(t: Layers):
     return per_month.select("month", "days", F.round(F.col("_mean") / mean, 6).alias("season"))
 
 
+def _factors(t: Layers):
+    daily = t.series().groupBy("day").agg(F.sum("amount").alias("amount"))
+    return seasonal_factors(daily).withColumn("factor", F.round("factor", 6))
+
+
 def _bands(t: Layers):
     price = F.col("p_retailprice")
     band = F.when(price < 950, "low").when(price < 1500, "middle").otherwise("high")
@@ -84,6 +90,7 @@ QUERIES = {
     "parse_timestamp": query(_parsed),
     "calendar_features": query(_calendar),
     "seasonal_index": query(_season),
+    "seasonal_factors": query(_factors),
     "case_banding": query(_bands),
     "clamp": query(
         lambda t: t.part.select(
@@ -156,6 +163,32 @@ SQL = {
         "daily",
         d="select day, sum(amount) as amount from daily group by 1",
     ),
+    "seasonal_factors": sql(
+        """select * from (with recursive d as (select day, sum(amount)::double as y from daily group by 1),
+        c as (select month(day) as m, dayofweek(day) + 1 as w, count(*)::double as n, sum(y) as y from d group by 1, 2),
+        g as (select m, w, coalesce(n, 0) as n, coalesce(y, 0) as y
+            from (select unnest(range(1, 13)) as m) cross join (select unnest(range(1, 8)) as w) left join c using (m, w)),
+        mn as (select list(ns order by m) as n, list(ys order by m) as y, list(nt order by m) as t
+            from (select m, list(n order by w) as ns, sum(y) as ys, sum(n) as nt from g group by m)),
+        wn as (select list(ns order by w) as n, list(ys order by w) as y, list(nt order by w) as t
+            from (select w, list(n order by m) as ns, sum(y) as ys, sum(n) as nt from g group by w)),
+        mean as (select sum(y) / sum(n) as mean from g),
+        r as (select 0 as k, [1.0, 1, 1, 1, 1, 1, 1]::double[] as w, [1.0, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1, 1]::double[] as m
+            union all
+            select k + 1, case when k % 2 = 0 then r.w else list_transform(range(1, 8), lambda j:
+                    coalesce(wn.y[j] / nullif(mean * list_inner_product(wn.n[j], r.m), 0), 1.0)) end,
+                case when k % 2 = 1 then r.m else list_transform(range(1, 13), lambda i:
+                    coalesce(mn.y[i] / nullif(mean * list_inner_product(mn.n[i], r.w), 0), 1.0)) end
+            from r, mn, wn, mean where k < 61),
+        e as (select r.*, mn.t as mt, wn.t as wt, list_inner_product(r.m, mn.t) / list_sum(mn.t) as level from r, mn, wn where k = 61)
+        select * from (
+            select 'month' as kind, unnest(range(1, 13)) as part, unnest(mt)::bigint as days,
+                round(unnest(list_transform(m, lambda x: x / level)), 6) as factor from e
+            union all
+            select 'weekday', unnest(range(1, 8)), unnest(wt)::bigint, round(unnest(list_transform(w, lambda x: x * level)), 6) from e)
+        where days > 0)""",
+        "daily",
+    ),
     "case_banding": sql(
         """select case when p_retailprice < 950 then 'low' when p_retailprice < 1500 then 'middle' else 'high' end as band,
         count(*) as products from part group by 1"""
