@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from oreflow.functions.calendar import calendar_columns
 from oreflow.operators.joins import future_days, grid
+from oreflow.operators.leaves import leaf_means, predict_by_leaves
 
 HORIZON = 90
 BAND = 1.28  # Fixed value: the two-sided 80% band of a normal residual.
@@ -86,6 +87,11 @@ def baseline_backtest(split: DataFrame, measure: str) -> DataFrame:
 def forest_forecast(future: DataFrame, amount: PipelineModel, units: PipelineModel, residual_sd: float) -> DataFrame:
     """Forecast with a band. Only the lower bound and the centre are cut at zero."""
     scored = units.transform(amount.transform(future).drop("features", "country_index", "country_hot"))
+    return banded(scored, residual_sd)
+
+
+def banded(scored: DataFrame, residual_sd: float) -> DataFrame:
+    """The forecast columns from the predictions of both targets."""
     centre = F.col("amount_predicted")
     return scored.select(
         "day",
@@ -97,6 +103,12 @@ def forest_forecast(future: DataFrame, amount: PipelineModel, units: PipelineMod
     )
 
 
+def shared_forest_forecast(future: DataFrame, amount: PipelineModel, train: DataFrame, residual_sd: float) -> DataFrame:
+    """The same from one forest: units come from the leaves of the amount's trees."""
+    means = leaf_means(amount, train, ["amount", "units"])
+    return banded(predict_by_leaves(amount, means, future, ["day", "country"], ["amount", "units"]), residual_sd)
+
+
 def history_union_forecast(series: DataFrame, forecast: DataFrame) -> DataFrame:
     """One time line: actual amounts, then forecast amounts, NULL where the other speaks."""
     past = series.groupBy("day").agg(F.sum("amount").cast("double").alias("amount"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.functions.bands import risk_band
+from oreflow.operators.leaves import leaf_means, predict_by_leaves
 from oreflow.operators.metrics import auc, forecast_errors
 from oreflow.operators.models import ModelStore, boosting_pipeline, forest_pipeline, with_probability
 from oreflow.operators.splits import stratified_split, time_split
@@ -149,18 +150,46 @@ def _backtest(days: DataFrame) -> DataFrame:
 
 def _forecast_checks(t: Layers) -> DataFrame:
     """What must hold of a forecast: 90 days per country, an ordered band, nothing below zero."""
+    return _sound(materialise(_forecast(t), "forecast"))
+
+
+def _sound(forecast: DataFrame) -> DataFrame:
     ordered = F.col("amount_min").between(0, F.col("amount_forecast")) & (F.col("amount_forecast") <= F.col("amount_max"))
-    return (
-        materialise(_forecast(t), "forecast")
-        .groupBy("country")
-        .agg(
-            F.count_distinct("day").alias("days"),
-            F.count("*").alias("rows"),
-            F.bool_and(ordered & (F.col("units_forecast") >= 0)).alias("sound"),
-        )
+    return forecast.groupBy("country").agg(
+        F.count_distinct("day").alias("days"),
+        F.count("*").alias("rows"),
+        F.bool_and(ordered & (F.col("units_forecast") >= 0)).alias("sound"),
     )
 
 
+UNITS_SLACK = 1.25
+
+
+def _two_targets(t: Layers) -> DataFrame:
+    """What must hold of a forecast of both targets from one forest, trained on the amount.
+
+    Its units are back-tested beside a forest of their own, and may be worse by a quarter.
+    """
+    series, days, origin = _calendar(t)
+    days = materialise(days, "days")
+    split = time_split(days, "day", 60)
+    train, test = split.filter("part = 'train'").drop("part"), split.filter("part = 'test'").drop("part")
+    shared = _forest("amount").fit(train)
+    means = leaf_means(shared, train, ["amount", "units"])
+    predicted = predict_by_leaves(shared, means, test, ["day", "country"], ["amount", "units"])
+    tested = materialise(predicted.join(test.select("day", "country", "amount", "units"), ["day", "country"]), "tested")
+    own = _forest("units").fit(train).transform(test)
+    errors = {name: forecast_errors(*of).first() for name, of in {
+        "amount": (tested, "amount", "amount_predicted"),
+        "units": (tested, "units", "units_predicted"),
+        "own": (own, "units", "units_predicted"),
+    }.items()}
+    close = errors["units"]["mape"] <= UNITS_SLACK * errors["own"]["mape"]
+    future = fc.with_calendar(fc.forecast_grid(series), origin)
+    forecast = fc.shared_forest_forecast(future, _forest("amount").fit(days), days, errors["amount"]["residual_sd"])
+    return _sound(materialise(forecast, "forecast")).withColumn("units_close", F.lit(close))
+
+
 def _forest_metrics(t: Layers) -> DataFrame:
     return _backtest(_calendar(t)[1])
 
@@ -173,6 +202,7 @@ def _forest_by_country(t: Layers) -> DataFrame:
 QUERIES = {
     "forecast_90d": query(_forecast),
     "forecast_checks": query(_forecast_checks),
+    "forecast_two_targets": query(_two_targets),
     "forest_metrics": query(_forest_metrics),
     "forest_by_country": query(_forest_by_country),
     "fraud_scores": query(_fraud_scores),
@@ -187,6 +217,9 @@ SQL: dict[str, str] = {
     "forecast_checks": sql(
         "select country, 90 as days, 90 as rows, true as sound from sales group by country", "sales"
     ),
+    "forecast_two_targets": sql(
+        "select country, 90 as days, 90 as rows, true as sound, true as units_close from sales group by country", "sales"
+    ),
     "score_checks": sql(
         """select count(*) as rows, count(*) as ids, count_if(is_fraud)::bigint as frauds, true as in_range,
         true as good_enough from silver_tx where segment is not null""",
