@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from oreflow.llm.common import let
 
 K = 2
-MAX_GRAMS = 63  # a template's covered places are the bits of one number
+BITS = 64  # a template's covered places are bits, in as many numbers as the longest template needs
 MAX_TEMPLATES = 10_000
 DRIFT = 2
 MIN_COVERAGE = 0.8
@@ -57,8 +57,8 @@ def template_grams(spark: SparkSession, templates: Sequence[tuple[str, str, bool
     rows = []
     for number, (label, text, base) in enumerate(templates):
         words = text.split()
-        if not K <= len(words) <= MAX_GRAMS + 1 or not text.isascii():
-            raise ValueError(f"a template has {K} to {MAX_GRAMS + 1} ASCII words: {text}")
+        if len(words) < K or not text.isascii():
+            raise ValueError(f"a template has {K} or more ASCII words: {text}")
         rows += [
             (number, label, base, len(words) - 1, at, *pair) for at, pair in enumerate(zip(words, words[1:], strict=False))
         ]
@@ -67,7 +67,7 @@ def template_grams(spark: SparkSession, templates: Sequence[tuple[str, str, bool
 
 
 def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, str, bool]] = TEMPLATES) -> DataFrame:
-    """One row per doc_id: ``n_words, n_base, first_word, last_word, base_labels, labels, score``.
+    """``doc_id`` of every row, and ``n_words, n_base, first_word, last_word, base_labels, labels, score``.
 
     Every word pair of a text is hashed and joined to the places of the templates. Pairs vote for
     the diagonal (place in the text less place in the template) they lie on; diagonals up to
@@ -77,10 +77,15 @@ def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, str, bool]] =
     compared, so hashes can't mislead. ``score`` is the best coverage of any template.
 
     Texts are read once: each also sends a row with its number of words, which keeps documents
-    without finds. A NULL text counts as empty. Rows with one doc_id (NULL too) are one document:
-    repeated rows change nothing. Other columns are ignored. An empty table gives an empty result.
+    without finds. A NULL text counts as empty. Rows are told apart by their id and two 64-bit hashes
+    of their text, so texts that share an id, or have none, are scanned one by one, and each repeated
+    row is returned. Other columns are ignored. An empty table gives an empty result.
     """
-    grams = F.broadcast(template_grams(docs.sparkSession, templates))
+    grams = template_grams(docs.sparkSession, templates)
+    numbers = max((len(words.split()) for _, words, _ in templates), default=0) // BITS + 1
+    covered = [f"covered_{j}" for j in range(numbers)]
+    bits = sum((F.bit_count(c) for c in covered), F.lit(0))
+    grams, row = F.broadcast(grams), ["doc_id", "t1", "t2"]
 
     def pairs(ws: Column) -> Column:
         pair = lambda w, i: F.struct(
@@ -98,8 +103,10 @@ def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, str, bool]] =
         )
         return F.concat(F.array(header), F.transform(ws, pair))
 
-    exploded = docs.select("doc_id", F.explode(let(license_words(F.col("text")), pairs)).alias("g")).select(
-        "doc_id", "g.*"
+    text = F.coalesce("text", F.lit(""))
+    hashes = [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), text).alias("t2")]
+    exploded = docs.select("doc_id", *hashes, F.explode(let(license_words(F.col("text")), pairs)).alias("g")).select(
+        *row, "g.*"
     )
     met = exploded.join(
         grams,
@@ -109,24 +116,26 @@ def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, str, bool]] =
     header = F.col("hash").isNull()
     votes = (
         met.withColumn("diagonal", F.when(~header, F.col("pos") - F.col("at")))
-        .groupBy("doc_id", "template", "label", "base", "grams", "diagonal")
+        .groupBy(*row, "template", "label", "base", "grams", "diagonal")
         .agg(
             F.max(F.when(header, F.col("pos"))).alias("n_words"),
-            F.bit_or(F.expr("shiftleft(1L, at)")).alias("covered"),
+            F.count_if(header).alias("copies"),
+            *[F.bit_or(F.expr(f"if(at div {BITS} = {j}, shiftleft(1L, at % {BITS}), 0L)")).alias(c) for j, c in enumerate(covered)],
             F.min("pos").alias("low"),
             (F.max("pos") + K).alias("high"),
         )
     )
-    along = Window.partitionBy("doc_id", "template").orderBy("diagonal")
+    along = Window.partitionBy(*row, "template").orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(along) > DRIFT
-    complete = F.col("base") & (F.bit_count("covered") == F.col("grams"))
+    complete = F.col("base") & (bits == F.col("grams"))
     merged = (
         votes.withColumn("gap", F.coalesce(gap.cast("int"), F.lit(0)))
         .withColumn("span", F.sum("gap").over(along))
-        .groupBy("doc_id", "template", "label", "base", "grams", "span")
+        .groupBy(*row, "template", "label", "base", "grams", "span")
         .agg(
             F.max("n_words").alias("n_words"),
-            F.bit_or("covered").alias("covered"),
+            F.max("copies").alias("copies"),
+            *[F.bit_or(c).alias(c) for c in covered],
             F.min("low").alias("low"),
             F.max("high").alias("high"),
             F.count_if(complete).alias("places"),
@@ -134,12 +143,13 @@ def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, str, bool]] =
             F.max(F.when(complete, F.col("diagonal"))).alias("last_place"),
         )
     )
-    coverage = F.bit_count("covered") / F.col("grams")
+    coverage = bits / F.col("grams")
     tight = F.col("high") - F.col("low") <= 2 * (F.col("grams") + 1)
     find = ((coverage >= MIN_COVERAGE) & tight & ~F.col("base")) | (F.col("places") > 0)
     score = F.when(F.col("places") > 0, F.lit(1.0)).when(tight, coverage)
     labels = lambda hit: F.array_join(F.sort_array(F.collect_set(F.when(hit, F.col("label")))), ",")
-    return merged.groupBy("doc_id").agg(
+    found = merged.groupBy(*row).agg(
+        F.max("copies").cast("int").alias("copies"),
         F.max("n_words").cast("bigint").alias("n_words"),
         F.sum("places").cast("bigint").alias("n_base"),
         F.min("first_place").cast("bigint").alias("first_word"),
@@ -148,3 +158,5 @@ def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, str, bool]] =
         labels(find).alias("labels"),
         F.coalesce(F.max(score), F.lit(0.0)).alias("score"),
     )
+    columns = [c for c in found.columns if c not in (*row, "copies")]
+    return found.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("doc_id", *columns)

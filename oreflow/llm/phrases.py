@@ -20,6 +20,7 @@ MOST_WORDS, LEAST, SHARDS, TOP = 4, 30, 3, 2_000
 HEAVY = 5  # a task's counts from here on are summed up for early activation
 SLOT_BITS = 23  # the stamps of a length are 8 megabytes, whatever the corpus
 UNSET = 255
+MOST_HASHES = 4_000_000  # that a task holds at once
 FLUSH_BYTES = 12_000_000  # of a task's texts that are counted at once
 TASK_BYTES = 8_000_000  # of compressed texts, about what is counted at once
 _OUT_ROWS = 100_000
@@ -164,6 +165,24 @@ def _reached_slots(reached: DataFrame) -> dict[int, np.ndarray]:
     return {k: np.concatenate(v) for k, v in found.items()}
 
 
+def _finish(counts: DataFrame, least: int, path: str) -> None:
+    """Write the phrases (``key, c``) that add up to ``least``, with their sums.
+
+    Most phrases are rare, and their texts need not move: first only counts per 32-bit hash are
+    added. Hashes that reach the threshold are sent to the tasks, at most ``MOST_HASHES`` at a time,
+    and only texts under them are summed up, exactly.
+    """
+    hashed = counts.withColumn("hash", F.hash("key"))
+    sums = hashed.groupBy("hash").agg(F.sum("c").alias("f")).filter(F.col("f") >= least).select("hash")
+    reached = materialise(sums, "phrase-hashes")
+    rounds = max(1, math.ceil(reached.count() / MOST_HASHES))
+    for r in range(rounds):
+        part = lambda rows: rows.filter(F.pmod("hash", F.lit(rounds)) == r)  # noqa: B023, E731
+        kept = part(hashed).join(F.broadcast(part(reached)), "hash", "left_semi")
+        summed = kept.groupBy("key").agg(F.sum("c").alias("f")).filter(F.col("f") >= least)
+        summed.write.mode("append").parquet(path)
+
+
 def frequent_phrases(
     docs: DataFrame, least: int = LEAST, shards: int = SHARDS, text: str = "text", lang: str = "lang"
 ) -> tuple[DataFrame, DataFrame]:
@@ -212,8 +231,7 @@ def frequent_phrases(
             .select("k", "key")
         )
         if ending >= 0:
-            finished = parts.filter(F.col("start") == ending).groupBy("key").agg(F.sum("c").alias("f"))
-            finished.filter(F.col("f") >= least).write.parquet(f"{ended}/step={step}")
+            _finish(parts.filter(F.col("start") == ending).select("key", "c"), least, f"{ended}/step={step}")
             words = F.size(F.split(F.split_part("key", F.lit("\t"), F.lit(1)), " "))
             done.append(spark.read.schema("key string, f bigint").parquet(f"{ended}/step={step}").withColumn("k", words))
             early = early.unionByName(done[-1].filter(F.col("k") < MOST_WORDS).select("k", "key"))

@@ -129,47 +129,48 @@ FROM found LEFT JOIN counts USING (vec_id)
 
 _TEMPLATES = ", ".join(f"({i}, '{label}', '{text}', {base})" for i, (label, text, base) in enumerate(TEMPLATES))
 
+# Base places by a plain look at the words of each row; votes only for the labels of the method.
 OP9 = rf"""
 WITH d AS (
-  SELECT doc_id, regexp_extract_all(
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
   FROM documents
+), templates AS (
+  SELECT template, label, string_split(words, ' ') AS tw, base FROM (VALUES {_TEMPLATES}) AS v(template, label, words, base)
+), b AS (
+  SELECT r, count(*) AS places, min(i) - 1 AS first_place, max(i) - 1 AS last_place, label
+  FROM (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM d) JOIN templates ON base AND ws[i:i + len(tw) - 1] = tw
+  GROUP BY r, label
 ), g AS (
-  SELECT DISTINCT doc_id, i - 1 AS pos, ws[i] AS word, ws[i + 1] AS nxt
-  FROM (SELECT doc_id, ws, unnest(range(1, len(ws))) AS i FROM d)
+  SELECT DISTINCT r, i - 1 AS pos, ws[i] AS word, ws[i + 1] AS nxt
+  FROM (SELECT r, ws, unnest(range(1, len(ws))) AS i FROM d)
 ), t AS (
-  SELECT template, label, base, len(ws) - 1 AS grams, i - 1 AS tpos, ws[i] AS word, ws[i + 1] AS nxt
-  FROM (SELECT template, label, base, string_split(words, ' ') AS ws,
-               unnest(range(1, len(string_split(words, ' ')))) AS i
-        FROM (VALUES {_TEMPLATES}) AS v(template, label, words, base))
+  SELECT template, label, base, len(tw) - 1 AS grams, i - 1 AS tpos, tw[i] AS word, tw[i + 1] AS nxt
+  FROM (SELECT *, unnest(range(1, len(tw))) AS i FROM templates)
 ), v AS (
-  SELECT doc_id, template, label, base, grams, pos - tpos AS diagonal,
-         bit_or(1::BIGINT << tpos) AS covered, min(pos) AS low, max(pos) + 2 AS high
+  SELECT r, template, label, base, grams, pos - tpos AS diagonal, list(tpos) AS covered, min(pos) AS low, max(pos) + 2 AS high
   FROM g JOIN t USING (word, nxt) GROUP BY ALL
 ), s AS (
-  SELECT *, sum(gap) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span,
-         (base AND bit_count(covered) = grams) AS complete
-  FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) > {DRIFT}
+  SELECT *, sum(gap) OVER (PARTITION BY r, template ORDER BY diagonal) AS span
+  FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > {DRIFT}
                        THEN 1 ELSE 0 END AS gap FROM v)
 ), m AS (
-  SELECT doc_id, template, label, base, grams, bit_count(bit_or(covered)) / grams AS coverage,
-         max(high) - min(low) <= 2 * (grams + 1) AS tight, count(*) FILTER (complete) AS places,
-         min(diagonal) FILTER (complete) AS first_place, max(diagonal) FILTER (complete) AS last_place
-  FROM s GROUP BY doc_id, template, label, base, grams, span
+  SELECT r, label, base, len(list_distinct(flatten(list(covered)))) / grams AS coverage,
+         max(high) - min(low) <= 2 * (grams + 1) AS tight
+  FROM s GROUP BY r, template, label, base, grams, span
 ), f AS (
-  SELECT doc_id, sum(places) AS n_base, min(first_place) AS first_word, max(last_place) AS last_word,
+  SELECT r, sum(places) AS n_base, min(first_place) AS first_word, max(last_place) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) FILTER (places > 0) AS base_labels,
-         string_agg(DISTINCT label, ',' ORDER BY label)
-           FILTER (places > 0 OR (NOT base AND tight AND coverage >= {MIN_COVERAGE})) AS labels,
-         max(CASE WHEN places > 0 THEN 1.0::DOUBLE WHEN tight THEN coverage END) AS score
-  FROM m GROUP BY doc_id
-), n AS (
-  SELECT doc_id, max(len(ws)) AS n_words FROM d GROUP BY doc_id
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+  FROM (SELECT r, places, first_place, last_place, label, 1.0::DOUBLE AS score FROM b
+        UNION ALL SELECT r, 0, NULL, NULL, CASE WHEN NOT base AND tight AND coverage >= {MIN_COVERAGE} THEN label END,
+                         CASE WHEN tight THEN coverage END FROM m)
+  GROUP BY r
 )
-SELECT doc_id, n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
-FROM n LEFT JOIN f USING (doc_id)
+FROM d LEFT JOIN f USING (r)
 """
 
 # CRC-32 of a short text, bit by bit: ``list_reduce`` over its bytes, then over eight shifts.

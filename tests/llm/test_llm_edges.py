@@ -254,7 +254,17 @@ def test_simhash_pairs_match_brute_force(spark):
 
 
 def test_licenses(spark, docs):
-    assert len(licenses.scan_licenses(docs).collect()) == len({d[0] for d in DOCS})
+    assert len(licenses.scan_licenses(docs).collect()) == len(DOCS)
+    # Texts that share an id, or have none, are documents of their own; repeated rows come back.
+    shared = [(i, t) for i in (7, None) for t in ("the general x x", "q general public", "z z public license", "z z public license")]
+    shared += [(None, "mit license"), (7, "a mit license")]
+    found = licenses.scan_licenses(spark.createDataFrame(shared, "doc_id bigint, text string").repartition(3)).collect()
+    assert len(found) == len(shared)
+    assert sorted((r["doc_id"] or 0, r["n_base"], r["first_word"]) for r in found if r["n_base"]) == [(0, 1, 0), (7, 1, 1)]
+    long = " ".join(f"word{i} of{i % 7}" for i in range(100))
+    text = "x y " + long.replace("word50 ", "other ") + " z"
+    [row] = licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), [("long", long, False)]).collect()
+    assert row["labels"] == "long" and 0.98 < row["score"] < 1
     rows = [
         (1, "Released under the MIT\nLicense. mit-license"),
         (2, "licensed under the new Apache License, version 2.0"),
