@@ -73,6 +73,24 @@ def _rendered(turn: Column) -> Column:
     )
 
 
+def loss_texts(formatted: Column, mask: Column) -> Column:
+    """The texts under the loss mask, unescaped, in their order: ``formatted`` cut along the runs."""
+    first = F.array(F.lit(1).cast("bigint"))
+    starts = F.aggregate(mask, first, lambda at, run: F.concat(at, F.array(F.element_at(at, -1) + run["chars"])))
+
+    def cut(at: Column) -> Column:
+        placed = F.filter(F.zip_with(mask, at, lambda run, start: F.struct(run.alias("run"), start.alias("start"))), _under_loss)
+        return F.transform(
+            placed, lambda p: unescape(F.substr(formatted, p["start"].cast("int"), p["run"]["chars"].cast("int")))
+        )
+
+    return let(starts, cut)
+
+
+def _under_loss(placed: Column) -> Column:
+    return F.coalesce(placed["run"]["loss"], F.lit(False))
+
+
 def format_chats(turns: DataFrame) -> DataFrame:
     """One row per conversation from rows ``conv_id, turn, role, text``.
 

@@ -44,10 +44,9 @@ def op6_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id bigint, turn bigint, role string, text string",
     )
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    spoken = F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"])
     return (
         chats.format_chats(turns.unionByName(extra))
-        .withColumn("loss", F.array_join(spoken, ""))
+        .withColumn("loss", F.array_join(chats.loss_texts(F.col("formatted"), F.col("mask")), ""))
         .select(
             "conv_id",
             F.size("turns").cast("bigint").alias("n_turns"),
