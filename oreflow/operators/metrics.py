@@ -11,19 +11,24 @@ AUC_LAYER_BITS, AUC_LAYERS = 21, 3
 def auc(df: DataFrame, score: str, label: Column) -> DataFrame:
     """Exact area under the ROC curve of a bigint score of any sign, ties counted half.
 
-    The rows are counted per score. The pairs that a positive wins are then added up in layers of
+    The rows are counted per score, in one pass. The pairs that a positive wins are then added up in layers of
     the score's bits, so every window is bounded and nothing is joined or sorted as a whole. The
     last layer brings the negative scores and the others together. Rows without a score take no
     part and are counted as ``unscored``.
     """
     wide = "decimal(38,0)"
+    scored = F.col("k").isNotNull()
     layer = (
-        df.filter(F.col(score).isNotNull())
-        .groupBy(F.col(score).alias("k"))
-        .agg(F.count_if(label).cast(wide).alias("pos"), F.count_if(~label).cast(wide).alias("neg"))
+        df.groupBy(F.col(score).alias("k"))
+        .agg(F.count_if(label).alias("pos"), F.count_if(~label).alias("neg"), F.count("*").alias("unscored"))
+        .select(
+            "k",
+            F.when(scored, F.col("pos")).otherwise(0).cast(wide).alias("pos"),
+            F.when(scored, F.col("neg")).otherwise(0).cast(wide).alias("neg"),
+            F.when(scored, 0).otherwise(F.col("unscored")).cast(wide).alias("unscored"),
+        )
         .withColumn("twice", (F.col("pos") * F.col("neg")).cast(wide))
     )
-    unscored = df.agg(F.count_if(F.col(score).isNull())).scalar()
     for i in range(AUC_LAYERS + 1):
         parent = F.shiftright("k", AUC_LAYER_BITS) if i < AUC_LAYERS else F.lit(0)
         layer = layer.withColumn("parent", parent)
@@ -33,18 +38,19 @@ def auc(df: DataFrame, score: str, label: Column) -> DataFrame:
             layer.withColumn("_below", below)
             .withColumn("twice", (F.col("twice") + 2 * F.col("pos") * F.col("_below")).cast(wide))
             .groupBy(F.col("parent").alias("k"))
-            .agg(*[F.sum(c).cast(wide).alias(c) for c in ("pos", "neg", "twice")])
+            .agg(*[F.sum(c).cast(wide).alias(c) for c in ("pos", "neg", "twice", "unscored")])
         )
     pairs = 2.0 * F.col("positives").cast("double") * F.col("negatives").cast("double")
     return layer.agg(
         F.sum("pos").cast("bigint").alias("positives"),
         F.sum("neg").cast("bigint").alias("negatives"),
         F.sum("twice").alias("_twice"),
+        F.coalesce(F.sum("unscored"), F.lit(0)).cast("bigint").alias("unscored"),
     ).select(
         "positives",
         "negatives",
         F.round(F.try_divide(F.col("_twice").cast("double"), pairs), 6).alias("auc"),
-        unscored.cast("bigint").alias("unscored"),
+        "unscored",
     )
 
 

@@ -22,17 +22,19 @@ def _share(part, whole):
 def validate_retail(daily: DataFrame, status: DataFrame) -> DataFrame:
     """Gold is there, has money, covers a year, and knows what to restock."""
     restock = status.agg(F.count_if("needs_restock")).scalar()
+    known = status.agg(F.count("needs_restock")).scalar()
     values = {
         "rows": F.count("*"),
         "amount": F.sum("amount"),
         "months": F.months_between(F.max("day"), F.min("day")),
         "restock": F.max(restock),
+        "known": F.max(known),
     }
     checks = [
         ("rows_present", "rows", F.col("rows") > 0),
         ("amount_positive", "amount", F.col("amount") > 0),
         ("enough_months", "months", F.col("months") >= MIN_MONTHS),
-        ("restock_known", "restock", F.col("restock").isNotNull()),
+        ("restock_known", "restock", F.col("known") > 0),
     ]
     return check_rows(daily, values, checks)
 
