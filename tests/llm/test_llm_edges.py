@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from oreflow.llm import bpe, chats, licenses, mixing, passages, pii, quality, simhash, urls, vectors
+from oreflow.llm import bpe, chats, licenses, mixing, passages, pii, quality, shingles, simhash, urls, vectors
 from oreflow.llm.automaton import SuffixAutomaton
 from oreflow.llm.crf import shapes
 
@@ -253,6 +253,35 @@ def test_simhash_pairs_match_brute_force(spark):
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
+def test_near_copies_keep_every_distinct_text(spark, docs):
+    def kept(rows, schema="doc_id bigint, text string"):
+        return sorted(map(tuple, shingles.keep_one(spark.createDataFrame(rows, schema).repartition(3)).collect()), key=repr)
+
+    a, b = "alpha " + PASSAGE, "beta two three four five six seven"
+    # One id with two texts keeps both; the copy of the second under another id goes.
+    assert kept([(1, a), (1, b), (2, b)]) == [(1, a), (1, b)]
+    assert kept([(None, a), (None, b), (3, b), (None, a)]) == sorted([(None, a), (3, b)], key=repr)
+    assert kept([(9, None), (8, ""), (7, " \t\n"), (7, "x")]) == [(7, " \t\n"), (7, "x")]
+    assert kept([(5, LONG), (4, LONG + " end"), (6, LONG.upper())]) == [(4, LONG + " end")]
+    # Equal rows but for other columns, with names that the operator uses: the first by these.
+    schema = "doc_id bigint, text string, key int, name string, `_nth` int, `_head` string"
+    assert kept([(1, a, 2, "y", 1, "h"), (1, a, 1, "z", 1, "h"), (1, a, 1, "z", 1, "h")], schema) == [(1, a, 1, "z", 1, "h")]
+    assert shingles.keep_one(docs.limit(0)).count() == 0
+    assert len(shingles.keep_one(docs).collect()) == 3 and shingles.keep_one(docs).columns == docs.columns
+
+
+def test_sketches_do_not_lose_linked_texts():
+    """Pairs at a similarity of just 0.8 look alike in far more bytes than the limit asks."""
+    rng = np.random.default_rng(3)
+    for n in (9, 90, 900, 9_000):
+        whole = rng.integers(-(2**63), 2**63, n, np.int64)
+        one, two = whole[n // 9 :], whole[: n - n // 9]
+        alike = sum(x == y for x, y in zip(*(np.array(shingles.sketch(np.sort(s))).view(np.uint8) for s in (one, two)), strict=True))
+        assert alike >= shingles.LEAST_ALIKE + 6
+    far = [np.array(shingles.sketch(rng.integers(-(2**63), 2**63, 500, np.int64))).view(np.uint8) for _ in range(2)]
+    assert sum(far[0] == far[1]) < 8
+
+
 def test_licenses(spark, docs):
     assert len(licenses.scan_licenses(docs).collect()) == len(DOCS)
     # Texts that share an id, or have none, are documents of their own; repeated rows come back.

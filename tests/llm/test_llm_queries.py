@@ -139,13 +139,68 @@ def test_mix_targets_and_totals(spark):
     assert sorted(map(tuple, QUERIES["op7_mix"](spark, SF).collect())) == sorted(map(tuple, rows))
 
 
-def test_pipeline_stages(spark):
-    rows = corpus_pipeline.run(spark, SF).collect()
-    enc, base = encoder(), {d["doc_id"] for d in DOCS}
-    assert rows and {r["doc_id"] for r in rows} <= base
-    for r in rows[:40]:
-        assert list(r["ids"]) == enc.encode_ordinary(r["decoded"])
-        assert not brute_pii(r["decoded"])
+def stage_input(spark, docs):
+    return spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+
+
+def test_pipeline_stages_on_their_own_inputs(spark):
+    """Every stage on all that the one before kept, against plain Python or the operator's SQL."""
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    kept = [tuple(d[n] for n in names) for d in DOCS]
+    stages = dict(corpus_pipeline.STAGES)
+    run = lambda name: [tuple(r) for r in stages[name](spark, stage_input(spark, kept), SF).collect()]
+
+    judged = {r[0]: r for r in duck(SF).execute(f"select doc_id, kept from ({SQL['op1_quality']})").fetchall()}
+    want = [d for d in kept if judged[d[0]][1]]
+    kept = run("quality rules")
+    assert sorted(kept) == sorted(want) and 0 < len(kept) < len(DOCS)
+
+    sets = {d[0]: grams(d[1]) for d in kept}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    heads = set(smallest_reached(sets, links).values())
+    want = [d for d in kept if d[0] in heads]
+    kept = run("near copies")
+    assert sorted(kept) == sorted(want)
+
+    before = {d[0]: d for d in kept}
+    kept = run("personal data")
+    assert sorted(d[0] for d in kept) == sorted(before)
+    for doc_id, text, lang, source, n_chars in kept:
+        old = before[doc_id]
+        assert (lang, source) == old[2:4] and n_chars == len(text) and not brute_pii(text)
+        assert text == old[1] or re.search(r"\[(EMAIL|IP|CARD|PHONE)\]", text)
+        assert bool(brute_pii(old[1])) <= (text != old[1])
+
+    before = {d[0]: d for d in kept}
+    size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", d[1])) for i, d in before.items()}
+    whole: dict = {}
+    for i, d in before.items():
+        whole[d[3]] = whole.get(d[3], 0) + size[i]
+    kept = run("mixing")
+    assert all(before[d[0]] == d for d in kept)
+    taken = dict.fromkeys(whole, 0)
+    for d in kept:
+        taken[d[3]] += size[d[0]]
+    for source, target in brute_targets(whole).items():
+        largest = max(size[i] for i, d in before.items() if d[3] == source)
+        assert abs(taken[source] - target) <= largest / 2 + 1
+
+    enc = encoder()
+    rows = stages["byte-level BPE"](spark, stage_input(spark, kept), SF).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(d[0] for d in kept)
+    texts = {d[0]: d[1] for d in kept}
+    for r in rows:
+        assert list(r["ids"]) == enc.encode_ordinary(texts[r["doc_id"]]) and r["decoded"] == texts[r["doc_id"]]
+
+
+def test_pipeline_runs_as_its_stages(spark):
+    ids = {r["doc_id"] for r in corpus_pipeline.run(spark, SF).collect()}
+    assert ids and ids <= {d["doc_id"] for d in DOCS}
+
+
+def grams(text):
+    ws = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))} if ws else set()
 
 
 def test_near_copies_stage_matches_brute_force(spark):
@@ -157,10 +212,6 @@ def test_near_copies_stage_matches_brute_force(spark):
     docs += [(top + 3, base.replace("w", "v")), (top + 4, base.replace("w", "v") + " " + " ".join(f"y{i}" for i in range(25)))]
     docs += [(top + 5, "One two"), (top + 6, "one  TWO"), (top + 7, None), (top + 8, " \t")]
 
-    def grams(text):
-        ws = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-        return {tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))} if ws else set()
-
     sets = {i: grams(t) for i, t in docs}
     links = [
         (a, b)
