@@ -61,7 +61,7 @@ QUANTILES = (0.5, 0.9, 0.985)
 def _sketched(t: Layers):
     """Quantiles of the amount per category, from daily sketches merged over all days and over one year.
 
-    The rows of each quantile's value are counted, and must lie within the sketch's rank error.
+    The rows of each quantile's value are counted, and must lie within twice the sketch's rank error.
     """
     tx = t.transactions().select(
         "merchant_category", F.substring("occurred_at", 1, 10).cast("date").alias("day"), cents(F.col("amount")).alias("c")
@@ -77,7 +77,7 @@ def _sketched(t: Layers):
             (F.count_if(F.col("c") < F.col("value")) / F.count("c")).alias("below"),
             (F.count_if(F.col("c") <= F.col("value")) / F.count("c")).alias("upto"),
         )
-        error = rank_error()
+        error = 2 * rank_error()  # twice what 99 of 100 keep
         within = (F.col("below") <= F.col("p") + error) & (F.col("upto") >= F.col("p") - error)
         facts = ranks.select(
             F.lit(span).alias("span"), "merchant_category", "p", "n", (F.col("n") == F.col("rows")).alias("whole"), within.alias("within")
