@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
+import random
 import re
 
 import numpy as np
@@ -15,6 +16,7 @@ import tiktoken
 import xxhash
 
 import corpus_pipeline
+from oreflow.llm import shingles
 from oreflow.llm.queries import QUERIES
 from oreflow.llm.sql import SQL
 from tests.compare import compare, duck
@@ -223,3 +225,28 @@ def test_near_copies_stage_matches_brute_force(spark):
     got = [r["doc_id"] for r in corpus_pipeline.near_copies_stage(spark, df, SF).collect()]
     assert sorted(got) == sorted(want)
     assert top + 2 not in want and {top + 3, top + 4} <= want
+
+
+def test_large_groups_of_near_copies_are_met_through_few_sets(spark):
+    """Texts about as unlike as the limit allows: some pairs are linked, others are not."""
+    rng = random.Random(8)
+    docs = []
+    for i in range(100):
+        words = [f"w{k}" for k in range(60)]
+        for at in rng.sample(range(60), i % 3):
+            words[at] = f"x{i}y{at}"
+        docs.append((i, " ".join(words)))
+    printed = shingles.prints(spark.createDataFrame(docs, "name bigint, text string").repartition(3)).cache()
+    of_key = {r["key"]: grams(docs[r["name"]][1]) for r in printed.select("key", "name").collect()}
+    pairs = {(a, b): 5 * len(of_key[a] & of_key[b]) >= 4 * len(of_key[a] | of_key[b]) for a, b in itertools.combinations(sorted(of_key), 2)}
+    assert len(of_key) > shingles.PIVOTS and any(pairs.values()) and not all(pairs.values())
+    shared = shingles.shared_words(printed)
+    met = [tuple(r) for r in shingles.pivot_pairs(shared).collect()]
+    alone = [tuple(r) for r in shingles.open_pairs(shared, spark.createDataFrame([], "node bigint, root bigint")).collect()]
+    assert len(met) == len(set(met)) and len(alone) == len(set(alone))  # each once, however many shingles it shares
+    assert {p for p, linked in pairs.items() if linked} <= {*met, *alone}
+    one = spark.createDataFrame([(k, min(of_key)) for k in of_key], "node bigint, root bigint")
+    assert not shingles.open_pairs(shared, one).count()
+    heads = [tuple(r) for r in shingles.simhash_pairs(shared, printed).collect()]
+    assert 0 < len(heads) < len(of_key) and all(a < b for a, b in heads)
+    printed.unpersist()
