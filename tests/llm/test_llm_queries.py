@@ -250,3 +250,34 @@ def test_large_groups_of_near_copies_are_met_through_few_sets(spark):
     heads = [tuple(r) for r in shingles.simhash_pairs(shared, printed).collect()]
     assert 0 < len(heads) < len(of_key) and all(a < b for a, b in heads)
     printed.unpersist()
+
+
+def test_a_group_makes_candidates_in_proportion_to_its_size(spark, monkeypatch):
+    """Sets with a few pivots in reach are connected before many others are compared with them."""
+    rng = random.Random(9)
+    met = []
+    alike = shingles.alike
+
+    def counted(pairs, printed):
+        met.append(pairs.count())
+        return alike(pairs, printed)
+
+    monkeypatch.setattr(shingles, "alike", counted)
+    for size in (200, 400):
+        docs = []
+        for i in range(size):
+            words = [f"w{k}" for k in range(60)]
+            for at in rng.sample(range(60), i % 3):
+                words[at] = f"x{i}y{at}"
+            docs.append((i, " ".join(words)))
+        texts = spark.createDataFrame(docs, "name bigint, text string").repartition(3)
+        printed = shingles.prints(texts).cache()
+        of_key = {r["key"]: grams(docs[r["name"]][1]) for r in printed.select("key", "name").collect()}
+        links = [(a, b) for a, b in itertools.combinations(of_key, 2) if 5 * len(of_key[a] & of_key[b]) >= 4 * len(of_key[a] | of_key[b])]
+        want = smallest_reached(list(of_key), links)
+        met.clear()
+        got = {r["node"]: r["root"] for r in shingles.connected(printed, texts).collect()}
+        assert {k: got.get(k, k) for k in of_key} == want
+        # With 64 pivots at once, the 134 sets of the smaller group made 2,236 candidates.
+        assert sum(met) < 16 * len(of_key)
+        printed.unpersist()
