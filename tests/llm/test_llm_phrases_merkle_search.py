@@ -8,7 +8,9 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -219,3 +221,24 @@ def test_search_with_few_rows(spark):
     assert searched(spark, [], 3) == []
     assert searched(spark, [(20, [1.0])], 3) == []
     assert searched(spark, [(20, [1.0]), (21, [0.5])], 3) == [(20, 1, 21, 64 * 32)]
+
+
+def test_phrase_scratch_files_are_compressed_well(spark, monkeypatch):
+    made = []
+    scratch = phrases.scratch_dir
+    monkeypatch.setattr(phrases, "scratch_dir", lambda *a: made.append(scratch(*a)) or made[-1])
+    kept = phrases.drop_folder
+    seen = set()
+
+    def dropped(spark, path):
+        seen.update(codecs(path))
+        kept(spark, path)
+
+    def codecs(path):
+        files = Path(path.removeprefix("file:")).rglob("*.parquet")
+        return {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+
+    monkeypatch.setattr(phrases, "drop_folder", dropped)
+    docs = spark.createDataFrame([("en", "a b c d " * 20)] * 4, "lang string, text string")
+    phrases.frequent_phrases(docs, 30)
+    assert codecs(made[0]) == {"ZSTD"} and seen == {"ZSTD"}
