@@ -5,14 +5,13 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import json
 from collections.abc import Callable, Iterator
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.llm.common import let, small_batches
@@ -51,20 +50,26 @@ class Vocabulary:
         return found
 
 
-def rank_map(merges: dict[int, int]) -> Column:
-    """The rank map as a literal: per bucket the pairs' keys, and beside them the merged ids.
+def rank_map(spark: SparkSession, merges: dict[int, int]) -> Column:
+    """The rank map as a scalar subquery: per bucket the pairs' keys, and beside them the merged ids.
 
     The buckets are found by the key's remainder; one map would be searched from its first key to
     its last on each look-up. Each bucket's ids begin with ``NO_RANK``, for a pair that isn't there.
-    Spark folds the parsed text into a literal when it plans the query.
+    A literal would be written out, some megabytes long, in every description of the plan, which the
+    driver keeps; a subquery's value is only sent to the tasks.
     """
-    keys: list[list[int]] = [[] for _ in range(BUCKETS)]
-    ids: list[list[int]] = [[NO_RANK] for _ in range(BUCKETS)]
-    for key, rank in merges.items():
-        keys[key % BUCKETS].append(key)
-        ids[key % BUCKETS].append(rank)
-    text = json.dumps({"keys": keys, "ids": ids}, separators=(",", ":"))
-    return F.from_json(F.lit(text), "keys array<array<bigint>>, ids array<array<bigint>>")
+    pairs = np.array(sorted(merges.items(), key=lambda pair: pair[0] % BUCKETS), np.int64).reshape(-1, 2)
+    sizes = np.bincount(pairs[:, 0] % BUCKETS, minlength=BUCKETS)
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    keys = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pairs[:, 0]))
+    first = ends[:-1] + np.arange(BUCKETS)  # of each bucket's ids
+    ids = np.empty(len(pairs) + BUCKETS, np.int64)
+    ids[first] = NO_RANK
+    ids[np.delete(np.arange(len(ids)), first)] = pairs[:, 1]
+    ids = pa.ListArray.from_arrays(pa.array(ends + np.arange(BUCKETS + 1), pa.int32()), pa.array(ids))
+    one = pa.array([0, BUCKETS], pa.int32())
+    table = pa.table([pa.ListArray.from_arrays(one, x) for x in (keys, ids)], names=["keys", "ids"])
+    return spark.createDataFrame(table).select(F.struct("keys", "ids").alias("ranks")).scalar()
 
 
 def fold_merges(word: Column, byte_ids: Column, ranks: Column) -> Column:
@@ -241,13 +246,14 @@ def _encoded(docs: DataFrame, path: str, pattern: str, schema: str, finish: Call
     arrow = {"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
     types = [arrow[c.split()[1]] for c in schema.split(",")]
     numbered = _numbered_words(docs, pattern, shared)
-    ranks = rank_map(merges)
     byte_ids = F.array(*[F.lit(i).cast("bigint") for i in vocabulary.bytes])
 
     def folded(constants: Column) -> Column:
         return F.transform("fresh", lambda word: fold_merges(word, constants["bytes"], constants["ranks"]))
 
-    constants = F.struct(byte_ids.alias("bytes"), ranks.alias("ranks"))
+    # A subquery may not be written inside a lambda's call; the optimizer puts it there, as it is used once.
+    numbered = numbered.withColumn("ranks", rank_map(spark, merges))
+    constants = F.struct(byte_ids.alias("bytes"), "ranks")
     ready = numbered.select("doc_id", "codes", "reset", let(constants, folded).alias("ids"))
     return ready.mapInArrow(run, "doc_id bigint, " + schema)
 

@@ -165,6 +165,35 @@ def test_bpe_survives_small_caches_and_long_words(spark, monkeypatch):
     assert again == want
 
 
+def test_bpe_plan_stays_short(spark, docs):
+    """The driver keeps descriptions of plans; the rank map is in none of them, and no step copies it per row."""
+    made = bpe.tokenize(docs, PATH, public_tokenizers.PATTERN)
+    plan = made._jdf.queryExecution().toString()
+    assert len(plan) < 100_000
+    assert len(re.findall(r"Project \[doc_id#\d+L, codes", plan.split("== Physical Plan ==")[1])) == 1
+
+
+def test_groups_are_found_anew_only_after_links(spark, monkeypatch):
+    """A round whose pairs are no links leaves the groups as they are."""
+    shared = " ".join(f"s{j}" for j in range(24))
+    texts = spark.createDataFrame([(i, f"{shared} " + " ".join(f"w{i}x{j}" for j in range(10))) for i in range(9)], "name bigint, text string")
+    printed = shingles.prints(texts)
+    sizes, met, components = [], [], shingles.components
+
+    def counted(links):
+        sizes.append(links.count())
+        return components(links)
+
+    def everything(pairs, printed):  # as if all sketches looked alike
+        met.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(shingles, "components", counted)
+    monkeypatch.setattr(shingles, "alike", everything)
+    assert shingles.connected(printed, texts).count() == 0
+    assert any(met[1:]) and len(sizes) == 2  # operator 8's groups, and the first links
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(1)
     a = rng.standard_normal(64)
