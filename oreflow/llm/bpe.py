@@ -72,17 +72,36 @@ def rank_map(spark: SparkSession, merges: dict[int, int]) -> Column:
     return spark.createDataFrame(table).select(F.struct("keys", "ids").alias("ranks")).scalar()
 
 
-def fold_merges(word: Column, byte_ids: Column, ranks: Column) -> Column:
-    """The token ids of a word given as an array of byte values, at most ``FOLDED_BYTES`` long.
+def byte_pairs(byte_ids: list[int], merges: dict[int, int]) -> np.ndarray:
+    """The merged id of any two bytes, at ``256 * left + right``."""
+    return np.array([merges.get(a << 17 | b, NO_RANK) for a in byte_ids for b in byte_ids], np.int64)
 
-    The state is one array of numbers, a cell per token: the rank of the merge with the next token,
-    the place of the token's first byte, and its id. The smallest cell is therefore the first of
+
+def first_cells(word_bytes: np.ndarray, sizes: np.ndarray, byte_ids: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """What the fold starts from, for words that lie one after another: two cells more than bytes each.
+
+    A cell holds the rank of the merge with the next token, the place of the token's first byte, and
+    its id. A cell before the first and one after the last token merge with nothing.
+    """
+    ends = np.cumsum(sizes)
+    ranks = np.full(len(word_bytes), NO_RANK, np.int64)
+    ranks[:-1] = pairs[word_bytes[:-1].astype(np.int64) << 8 | word_bytes[1:]]
+    ranks[ends[sizes > 0] - 1] = NO_RANK
+    own = np.arange(len(word_bytes))
+    places = own - np.repeat(ends - sizes, sizes)
+    cells = np.full(len(word_bytes) + 2 * len(sizes), NO_RANK * _RANK + OUTSIDE, np.int64)
+    cells[own + 2 * np.repeat(np.arange(len(sizes)), sizes) + 1] = ranks * _RANK + places * 131_072 + byte_ids[word_bytes]
+    return cells
+
+
+def fold_merges(word: Column, ranks: Column) -> Column:
+    """The token ids of a word given as its ``first_cells``, at most ``FOLDED_BYTES`` and two.
+
+    The state is one array of numbers, a cell per token. The smallest cell is the first of
     the merges with the lowest rank. A step replaces it, gives its left neighbour a new rank and
-    drops its right one; no step is needed after ``n - 1``. A cell before the first and one after
-    the last token merge with nothing, so every token has two neighbours. A word that is given as
-    finished ids, as ``-1 - id``, only has them restored.
+    drops its right one; no step is needed after ``n - 1``. With the cells at both ends every token
+    has two neighbours. A word that is given as finished ids, as ``-1 - id``, only has them restored.
     """
-    outside = F.lit(NO_RANK * _RANK + OUTSIDE)
 
     def rank(left: Column, right: Column) -> Column:
         key = left * 131_072 + right
@@ -92,12 +111,6 @@ def fold_merges(word: Column, byte_ids: Column, ranks: Column) -> Column:
     def token(cell: Column) -> Column:
         return cell.bitwiseAND(131_071)
 
-    def start(ids: Column) -> Column:
-        cells = F.transform(
-            ids, lambda x, i: rank(x, F.coalesce(F.get(ids, i + 1), F.lit(OUTSIDE))) * _RANK + i * 131_072 + x
-        )
-        return F.concat(F.array(outside), cells, F.array(outside))
-
     def merged(cells: Column, lowest: Column, at: Column) -> Column:
         new, left = F.shiftright(lowest, _RANK_BIT), F.get(cells, at - 2)
         own = rank(new, token(F.get(cells, at + 1))) * _RANK + lowest.bitwiseAND(_PLACES) + new
@@ -113,17 +126,13 @@ def fold_merges(word: Column, byte_ids: Column, ranks: Column) -> Column:
             ),
         )
 
-    def folded(ids: Column) -> Column:
-        steps = F.sequence(F.lit(1), F.size(ids) - 1)
-        tokens = F.aggregate(
-            steps, start(ids), step, lambda cells: F.transform(F.slice(cells, 2, F.size(cells) - 2), token)
-        )
-        return F.when(F.size(ids) < 2, ids).otherwise(tokens)
-
-    finished = F.transform(word, lambda x: (-1 - x).cast("bigint"))
-    return F.when(F.get(word, F.lit(0)) < 0, finished).otherwise(
-        let(F.transform(word, lambda b: F.get(byte_ids, b)), folded)
+    tokens = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(F.size(word) - 3, F.lit(1))),
+        word,
+        step,
+        lambda cells: F.transform(F.slice(cells, 2, F.size(cells) - 2), token),
     )
+    return F.when(F.get(word, F.lit(0)) < 0, F.transform(word, lambda x: -1 - x)).otherwise(tokens)
 
 
 def merge_long(word: bytes, byte_ids: list[int], merges: dict[int, int]) -> list[int]:
@@ -151,13 +160,14 @@ def merge_long(word: bytes, byte_ids: list[int], merges: dict[int, int]) -> list
 def _numbered_words(docs: DataFrame, pattern: str, shared) -> DataFrame:
     """``doc_id, codes, reset, fresh``: the words of each text as numbers.
 
-    Words are numbered per task in the order of their first use, and ``fresh`` has the byte values
+    Words are numbered per task in the order of their first use, and ``fresh`` has the first cells
     of those that a row uses first. After ``CACHED_WORDS`` the numbers start anew (``reset``).
     """
-    schema = "doc_id bigint, codes binary, reset boolean, fresh array<array<int>>"
+    schema = "doc_id bigint, codes binary, reset boolean, fresh array<array<bigint>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        byte_ids, merges, _ = shared.value
+        byte_ids, merges, _, pairs = shared.value
+        id_of = np.array(byte_ids, np.int64)
         split = regex.compile(pattern).findall
         numbers: dict[str, int] = {}
         for batch in batches:
@@ -179,19 +189,20 @@ def _numbered_words(docs: DataFrame, pattern: str, shared) -> DataFrame:
                     chars += len(texts[row] or "")
                     row += 1
                 words = [w.encode() for w in words]
-                sizes = [len(w) for w in words]
-                if max(sizes, default=0) <= FOLDED_BYTES:
-                    flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int32)
-                else:
+                sizes = np.array([len(w) for w in words], np.int64)
+                short = sizes <= FOLDED_BYTES
+                joined = b"".join(words if short.all() else [w for w in words if len(w) <= FOLDED_BYTES])
+                flat = first_cells(np.frombuffer(joined, np.uint8), sizes[short], id_of, pairs)
+                sizes += 2
+                if not short.all():
+                    cells = iter(np.split(flat, np.cumsum(sizes[short])[:-1]))
                     lists = [
-                        np.frombuffer(w, np.uint8).astype(np.int32)
-                        if len(w) <= FOLDED_BYTES
-                        else -1 - np.array(merge_long(w, byte_ids, merges), np.int32)
-                        for w in words
+                        next(cells) if one else -1 - np.array(merge_long(w, byte_ids, merges), np.int64)
+                        for w, one in zip(words, short, strict=True)
                     ]
                     sizes, flat = [len(x) for x in lists], np.concatenate(lists)
                 ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                inner = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
+                inner = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 outer = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -219,7 +230,7 @@ def _encoded(docs: DataFrame, path: str, pattern: str, schema: str, finish: Call
     vocabulary = Vocabulary(path)
     merges = vocabulary.merges()
     tokens = [vocabulary.tokens.get(i, b"") for i in range(max(vocabulary.tokens) + 1)]
-    shared = spark.sparkContext.broadcast((vocabulary.bytes, merges, tokens))
+    shared = spark.sparkContext.broadcast((vocabulary.bytes, merges, tokens, byte_pairs(vocabulary.bytes, merges)))
     names = [c.split()[0] for c in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,15 +257,13 @@ def _encoded(docs: DataFrame, path: str, pattern: str, schema: str, finish: Call
     arrow = {"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
     types = [arrow[c.split()[1]] for c in schema.split(",")]
     numbered = _numbered_words(docs, pattern, shared)
-    byte_ids = F.array(*[F.lit(i).cast("bigint") for i in vocabulary.bytes])
 
-    def folded(constants: Column) -> Column:
-        return F.transform("fresh", lambda word: fold_merges(word, constants["bytes"], constants["ranks"]))
+    def folded(ranks: Column) -> Column:
+        return F.transform("fresh", lambda word: fold_merges(word, ranks))
 
     # A subquery may not be written inside a lambda's call; the optimizer puts it there, as it is used once.
     numbered = numbered.withColumn("ranks", rank_map(spark, merges))
-    constants = F.struct(byte_ids.alias("bytes"), "ranks")
-    ready = numbered.select("doc_id", "codes", "reset", let(constants, folded).alias("ids"))
+    ready = numbered.select("doc_id", "codes", "reset", let(F.col("ranks"), folded).alias("ids"))
     return ready.mapInArrow(run, "doc_id bigint, " + schema)
 
 

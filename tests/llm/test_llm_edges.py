@@ -165,6 +165,17 @@ def test_bpe_survives_small_caches_and_long_words(spark, monkeypatch):
     assert again == want
 
 
+def test_first_cells_of_words():
+    """Each byte with its place, its id and the rank of its merge with the next; words have a cell more at both ends."""
+    merges = {10 << 17 | 11: 300}
+    id_of = np.arange(256) + 10
+    cells = bpe.first_cells(np.array([0, 1, 1], np.uint8), np.array([2, 1]), id_of, bpe.byte_pairs(id_of.tolist(), merges))
+    none = bpe.NO_RANK << 25
+    end = none | bpe.OUTSIDE
+    assert cells.tolist() == [end, 300 << 25 | 10, none | 1 << 17 | 11, end, end, none | 11, end]
+    assert not len(bpe.first_cells(np.zeros(0, np.uint8), np.zeros(0, np.int64), id_of, np.zeros(65_536, np.int64)))
+
+
 def test_bpe_plan_stays_short(spark, docs):
     """The driver keeps descriptions of plans; the rank map is in none of them, and no step copies it per row."""
     made = bpe.tokenize(docs, PATH, public_tokenizers.PATTERN)
